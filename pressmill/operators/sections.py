@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..params import Settings
+from ..session import materialize
 from .keyed import top_per_key
 
 
@@ -27,7 +28,9 @@ def placed(articles: DataFrame, cfg: Settings, by: list[str]) -> DataFrame:
     edition = [*by, "_all"]
 
     rows = articles.withColumns({"placed_section": home, "_all": F.lit(1)})
-    head = top_per_key(rows, [*edition, "placed_section"], best_first, cfg.per_section_max + slots, "slot")
+    # a few rows per section, used four times below: written once, so the articles are read once
+    head = materialize(
+        top_per_key(rows, [*edition, "placed_section"], best_first, cfg.per_section_max + slots, "slot"), "sections")
     picked = head.filter(F.col("slot") <= cfg.per_section_max)
     overflow = head.filter(F.col("slot") > cfg.per_section_max).drop("slot", "placed_section")
     spare = top_per_key(overflow, edition, best_first, slots, "_turn")

@@ -70,10 +70,10 @@ def _block_pair(probe: pd.DataFrame, index: pd.DataFrame, threshold: float, earl
     empty = pd.DataFrame({"arrival": pd.Series(dtype="int64"), "first": pd.Series(dtype="int64")})
     if not len(probe) or not len(index):
         return empty
-    index = index.sort_values("arrival")
-    at = index["arrival"].to_numpy()
+    index = index.sort_values("iarrival")
+    at = index["iarrival"].to_numpy()
     asked = probe["arrival"].to_numpy()
-    right = _matrix(index["unit"]).T
+    right = _matrix(index["iunit"]).T
     best = np.full(len(asked), none)
     for start in range(0, len(asked), BLOCK):
         rows = slice(start, start + BLOCK)
@@ -86,6 +86,22 @@ def _block_pair(probe: pd.DataFrame, index: pd.DataFrame, threshold: float, earl
     return pd.DataFrame({"arrival": asked[found], "first": best[found]})
 
 
+def _settle_block(rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """Greedy selection within one block of at most BLOCK rows."""
+    rows = rows.sort_values("arrival")
+    units = _matrix(rows["unit"])
+    similar = units @ units.T >= threshold
+    kept = np.zeros(len(rows), dtype=bool)
+    for i in range(len(rows)):
+        kept[i] = not (similar[i] & kept).any()
+    return rows[kept]
+
+
+def settle_vectors(rows: DataFrame, threshold: float) -> DataFrame:
+    return rows.groupBy("dim").applyInPandas(
+        lambda pdf: _settle_block(pdf, threshold), "arrival long, dim int, unit array<double>")
+
+
 def nearest_vectors(
     probe: DataFrame, index: DataFrame, earlier: bool, threshold: float,
     refs: np.ndarray | None = None, block: int = BLOCK,
@@ -116,10 +132,10 @@ def nearest_vectors(
         "dim", "cell", own("lb").alias("l"), F.explode(F.sequence(F.lit(0), F.col("rb") - 1)).alias("r"),
         "arrival", "unit")
     right = right.join(grid, ["dim", "cell"]).select(
-        "dim", "cell", F.explode(F.sequence(F.lit(0), F.col("lb") - 1)).alias("l"), own("rb").alias("r"),
-        "arrival", "unit")
-    keys = ["dim", "cell", "l", "r"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
+        F.col("dim").alias("idim"), F.col("cell").alias("icell"),
+        F.explode(F.sequence(F.lit(0), F.col("lb") - 1)).alias("il"), own("rb").alias("ir"),
+        F.col("arrival").alias("iarrival"), F.col("unit").alias("iunit"))
+    found = left.groupBy("dim", "cell", "l", "r").cogroup(right.groupBy("idim", "icell", "il", "ir")).applyInPandas(
         lambda p, i: _block_pair(p, i, threshold, earlier), "arrival long, first long")
     return found.groupBy("arrival").agg(F.min("first").alias("first"))
 
@@ -142,7 +158,8 @@ def keep_first_vectors(
     # equal vectors: all but the first are dropped whatever happens to the first
     single = units.groupBy("unit", "dim").agg(F.min("arrival").alias("arrival")).select("arrival", "dim", "unit")
     kept = keep_first(
-        single, lambda p, i, e: nearest_vectors(p, i, e, threshold, refs, block), "arrival", **batches)
+        single, lambda p, i, e: nearest_vectors(p, i, e, threshold, refs, block), "arrival",
+        settle=lambda left: settle_vectors(left, threshold), settle_rows=block, **batches)
     nothing_alike = rows.filter(F.coalesce(F.size(vector), F.lit(0)) <= 0).select(F.col(arrival).alias("arrival"))
     null_norm = rows.filter(F.size(vector) > 0).filter(F.forall(vector, lambda x: x == 0)).select(
         F.col(arrival).alias("arrival"))

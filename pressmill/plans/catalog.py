@@ -702,14 +702,14 @@ def vector_recent_anti(spark, sf):
 
 def greedy_sql(rows: str, similar: str) -> str:
     """Sequential keep-first over rows (id, ...) in SQL: one recursion step per row."""
-    return f"""e AS (SELECT *, row_number() OVER (ORDER BY id) AS rn FROM ({rows})),
-nb AS (SELECT b.rn, list(a.rn) AS ns FROM e a JOIN e b ON a.rn < b.rn AND {similar} GROUP BY b.rn),
+    return f"""e AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY id) AS rn FROM ({rows})),
+nb AS MATERIALIZED (SELECT b.rn, list(a.rn) AS ns FROM e a JOIN e b ON a.rn < b.rn AND {similar} GROUP BY b.rn),
 steps(rn, kept) AS (
   SELECT 0::BIGINT, []::BIGINT[]
   UNION ALL
   SELECT s.rn + 1, CASE WHEN nb.ns IS NOT NULL AND list_has_any(s.kept, nb.ns) THEN s.kept ELSE list_append(s.kept, s.rn + 1) END
   FROM steps s LEFT JOIN nb ON nb.rn = s.rn + 1 WHERE s.rn < (SELECT max(rn) FROM e)),
-kept AS (SELECT unnest(kept) AS rn FROM (SELECT kept FROM steps ORDER BY rn DESC LIMIT 1))"""
+kept AS MATERIALIZED (SELECT unnest(kept) AS rn FROM (SELECT kept FROM steps ORDER BY rn DESC LIMIT 1))"""
 
 
 def _vectors_greedy(threshold: float) -> str:
@@ -755,9 +755,17 @@ def title_dedup_keep_first(spark, sf):
     return keep_first_titles(rows, CORPUS.title_threshold).select("arrival")
 
 
-@query("title_contained_keep_first", f"""WITH RECURSIVE {ARTICLES_SQL},
-{greedy_sql("SELECT arrival AS id, list_distinct(list_filter(string_split(title, ' '), lambda w: w <> '')) AS t FROM art",
-            "len(a.t) > 0 AND len(b.t) > 0 AND (list_has_all(a.t, b.t) OR list_has_all(b.t, a.t))")}
+_words_sql = "list_distinct(list_filter(string_split(title, ' '), lambda w: w <> ''))"
+_subset_sql = f"""w AS MATERIALIZED (SELECT id, len(t) AS size, unnest(t) AS word FROM (SELECT arrival AS id, {_words_sql} AS t FROM art)),
+sub AS (SELECT a.id AS x, b.id AS y FROM w a JOIN w b ON a.word = b.word AND a.id <> b.id
+  GROUP BY a.id, b.id, a.size HAVING count(*) = a.size),
+pairs AS MATERIALIZED (SELECT DISTINCT least(x, y) AS x, greatest(x, y) AS y FROM sub)"""
+
+
+@query("title_contained_keep_first", f"""WITH RECURSIVE {ARTICLES_SQL}, {_subset_sql},
+{greedy_sql("SELECT arrival AS id FROM art", "(a.id, b.id) IN (SELECT (x, y) FROM pairs)").replace(
+    "FROM e a JOIN e b ON a.rn < b.rn AND (a.id, b.id) IN (SELECT (x, y) FROM pairs)",
+    "FROM pairs JOIN e a ON a.id = x JOIN e b ON b.id = y")}
 SELECT id AS arrival FROM e JOIN kept USING (rn)""")
 def title_contained_keep_first(spark, sf):
     return keep_first_titles(articles(spark, sf).select("arrival", "title"), 100.0).select("arrival")

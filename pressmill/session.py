@@ -1,6 +1,8 @@
 """Session defaults and the shared folder used to cut lineage."""
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -23,6 +25,22 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Gives the Python workers this package, for sessions that were started without it."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        package = os.path.dirname(os.path.abspath(__file__))
+        archive = shutil.make_archive(
+            os.path.join(tempfile.mkdtemp(prefix="pressmill-py-"), "pressmill"), "zip",
+            root_dir=os.path.dirname(package), base_dir=os.path.basename(package))
+        spark.sparkContext.addPyFile(archive)
+        _shipped.add(app)
+    return spark
+
+
 def local_session(cpus: str | int = "*", app: str = "pressmill", **conf: str) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (
