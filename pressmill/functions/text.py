@@ -4,7 +4,7 @@ from __future__ import annotations
 import html.parser
 
 import pandas as pd
-from pyspark.sql import Column, types as T
+from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
 from ..params import STOPWORDS_EN, STOPWORDS_ZH
@@ -13,6 +13,11 @@ from ..params import STOPWORDS_EN, STOPWORDS_ZH
 WHITESPACE = (
     r"[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
+# The same set for Java's engine, arranged so that a letter fails after two tests.
+_SPACES = (
+    r"(?:[\t\n\x{b}\f\r\x{1c}\x{1d}\x{1e}\x{1f} \x{85}\x{a0}]"
+    r"|(?=[\x{1680}-\x{3000}])[\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}])+"
+)
 TOKEN_PATTERN = r"[A-Za-z][A-Za-z\-]+|[\x{4e00}-\x{9fa5}]{2,}"  # fixed value
 CJK_PATTERN = r"[\x{4e00}-\x{9fff}]"  # fixed value, wider than the range of tokens
 
@@ -23,7 +28,7 @@ def strip(s: Column) -> Column:
 
 def squeeze(s: Column) -> Column:
     """One blank between words, none at the ends, '' for null."""
-    return F.trim(F.regexp_replace(F.coalesce(s, F.lit("")), f"{WHITESPACE}+", " "))
+    return F.trim(F.regexp_replace(F.coalesce(s, F.lit("")), _SPACES, " "))
 
 
 def words(s: Column) -> Column:
@@ -40,17 +45,15 @@ def term_text(title: Column, summary: Column, tags: Column) -> Column:
     return F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(summary, F.lit("")), F.array_join(tags, " "))
 
 
-def terms(s: Column, stop_en: list[str] = STOPWORDS_EN, stop_zh: list[str] = STOPWORDS_ZH) -> Column:
-    """Lower-cased words of three letters or more and CJK runs of two or more, without stop words.
-
-    Matching on the lower-cased text gives the same runs, so case is folded once per row. Only
-    U+212A (Kelvin) and U+0130 would fold into ASCII; they are taken out of the folding.
-    """
-    folded = F.translate(s, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    found = F.regexp_extract_all(folded, F.lit(TOKEN_PATTERN), F.lit(0))
-    stop = F.array(*[F.lit(w) for w in [*stop_en, *stop_zh]])
-    # a token is either all letters and hyphens or all CJK; CJK runs have two characters at least
-    return F.filter(found, lambda t: ((F.length(t) >= 3) | is_cjk(t)) & ~F.array_contains(stop, t))
+def exploded_terms(
+    rows: DataFrame, keep: list[str], s: Column, stop_en: list[str] = STOPWORDS_EN, stop_zh: list[str] = STOPWORDS_ZH,
+) -> DataFrame:
+    """One row per term: words of three letters or more in lower case and CJK runs of two or more,
+    without stop words. Case and stop words are dealt with per exploded row, in generated code."""
+    found = rows.select(*keep, F.explode(F.regexp_extract_all(s, F.lit(TOKEN_PATTERN), F.lit(0))).alias("term"))
+    lowered = found.withColumn("term", F.lower("term"))  # a token is ASCII letters and hyphens, or CJK
+    long_enough = (F.length("term") >= 3) | is_cjk(F.col("term"))
+    return lowered.filter(long_enough & ~F.col("term").isin(*stop_en, *stop_zh))
 
 
 def token_cost(s: Column) -> Column:
@@ -61,7 +64,10 @@ def token_cost(s: Column) -> Column:
 def embedded_json(text: Column, schema: T.StructType | str, fallback: Column) -> Column:
     """The object from the first '{' to the last '}', or ``fallback`` when it does not parse."""
     body = F.nullif(F.regexp_extract(text, r"(?s)\{.*\}", 0), F.lit(""))
-    return F.when(F.try_parse_json(body).isNotNull(), F.from_json(body, schema)).otherwise(fallback)
+    # the parser stops after the first value, so text behind it only shows inside a closed frame
+    framed = F.try_parse_json(F.concat(F.lit('{"x":['), body, F.lit("]}")))
+    single = framed.isNotNull() & F.try_variant_get(framed, "$.x[1]", "variant").isNull()
+    return F.when(single, F.from_json(body, schema)).otherwise(fallback)
 
 
 def mention(n: Column, where: Column, titles: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.rules import band
-from ..functions.text import is_cjk, term_text, terms
+from ..functions.text import exploded_terms, is_cjk, term_text
 from ..functions.times import days_before
 from ..params import Settings
 from .keyed import top_per_key
@@ -16,7 +16,7 @@ from .keyed import top_per_key
 def article_terms(articles: DataFrame, keep: list[str]) -> DataFrame:
     """One row per term occurrence."""
     text = term_text(F.col("title"), F.col("summary"), F.col("tags"))
-    return articles.select(*keep, F.explode(terms(text)).alias("term"))
+    return exploded_terms(articles, keep, text)
 
 
 def term_counts(occurrences: DataFrame, term: str = "term") -> DataFrame:

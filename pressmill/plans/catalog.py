@@ -562,8 +562,7 @@ def terms_sql(text: str) -> str:
 
 @query("token_counts", f"""SELECT keyword, count(*) AS n FROM (SELECT unnest({terms_sql("text")}) AS keyword FROM documents) GROUP BY keyword""")
 def token_counts(spark, sf):
-    docs = table(spark, sf, "documents").select(F.explode(X.terms(F.col("text"))).alias("term"))
-    return TR.term_counts(docs)
+    return TR.term_counts(X.exploded_terms(table(spark, sf, "documents"), [], F.col("text")))
 
 
 def windows_sql(as_of_text: str, top: bool = True) -> str:
@@ -819,7 +818,7 @@ def upsert_latest(spark, sf):
     rows = occurrences(spark, sf).select("user_id", "event_type", "event_id", "value", "ts")
     path = scratch_path(spark, "upsert")
     for part in (rows.filter(F.col("ts") < TM.instant("2024-01-20")), rows.filter(F.col("ts") >= TM.instant("2024-01-10"))):
-        T.upsert(part, path, ["user_id", "event_type"], "event_id")
+        T.upsert(part, path, ["user_id", "event_type"], "event_id", buckets=8)
     return spark.read.parquet(path).select("user_id", "event_type", "event_id", "value")
 
 

@@ -14,7 +14,9 @@ from ..functions.binding import bound
 from ..functions.text import WHITESPACE, squeeze, token_cost
 from ..functions.times import instant
 from ..params import Settings
-from ..session import configure
+from ..session import configure, fan_out
+
+TEXT_TABLES = ("documents", "pages")  # heavy work per row
 
 AS_OF_TEXT = "2024-01-31 00:00:00"
 
@@ -57,7 +59,8 @@ def as_of() -> Column:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    df = configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return fan_out(df) if name in TEXT_TABLES else df
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,3 +83,10 @@ def materialize(df: DataFrame, label: str = "cut") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def fan_out(df: DataFrame) -> DataFrame:
+    """Spreads a scan that has fewer splits than the cluster has cores (one small or unsplittable
+    file) before work that is heavy per row. A large input has splits enough and is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

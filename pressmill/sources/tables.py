@@ -14,7 +14,7 @@ from ..operators.keyed import absent, first_per_key, ignored_if_present, upserte
 from ..session import materialize
 from .landed import exists
 
-BUCKETS = 256
+BUCKETS = 64
 
 
 def read(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -22,21 +22,29 @@ def read(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
 
 
-def bucket_of(keys: list[str]) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+def bucket_of(keys: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def _laid_out(df: DataFrame, partitions: tuple[str, ...]) -> DataFrame:
+    """Few files per partition, and a heavy partition split over tasks: ranges of (partition, row hash)."""
+    plain = [c for c, t in df.dtypes if c not in partitions and not t.startswith(("map", "variant"))]
+    return df.repartitionByRange(*partitions, F.xxhash64(*plain) if plain else F.lit(0))
 
 
 def overwrite_partitions(df: DataFrame, path: str, *partitions: str) -> None:
     """Replaces the partitions that ``df`` has rows for and leaves the others."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+    _laid_out(df, partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
 
-def upsert(new: DataFrame, path: str, keys: list[str], version: str, partition: str | None = None) -> None:
-    """Last write wins. ``partition`` must be one of the keys; without it rows go to hash buckets."""
+def upsert(new: DataFrame, path: str, keys: list[str], version: str, partition: str | None = None,
+           buckets: int = BUCKETS) -> None:
+    """Last write wins. ``partition`` must be one of the keys; without it rows go to hash buckets, whose
+    number must stay the same for a table."""
     spark = new.sparkSession
     if partition is None:
         partition = "bucket"
-        new = new.withColumn(partition, bucket_of(keys))
+        new = new.withColumn(partition, bucket_of(keys, buckets))
     if exists(spark, path):
         touched = spark.read.parquet(path).join(new.select(partition).distinct(), partition, "left_semi")
         result = upserted(touched, new, keys, version)
@@ -61,7 +69,7 @@ def append_articles(articles: DataFrame, path: str) -> None:
     rows = articles.withColumn("date", F.to_date("fetched_at"))
     if exists(spark, path):
         rows = absent(rows, spark.read.parquet(path), ["url_hash"])
-    materialize(rows, "articles").write.mode("append").partitionBy("date").parquet(path)
+    _laid_out(materialize(rows, "articles"), ("date",)).write.mode("append").partitionBy("date").parquet(path)
 
 
 def append_run(spark: SparkSession, path: str, run_id: str, status: str, ts: Column, metrics: dict[str, float]) -> None:
