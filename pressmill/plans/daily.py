@@ -101,7 +101,8 @@ def process(
                 "url_hash", F.col("embedding").alias("vector"), now.alias("created_at"))
             tables.upsert(kept_vectors, paths.embeddings, ["url_hash"], "created_at")
 
-        window = state.articles_in_window(spark.read.parquet(paths.articles), cfg.burst_baseline_days, now).withColumn(
+        window = state.articles_in_window(
+            state_table(spark, paths.articles, STORED_ARTICLE), cfg.burst_baseline_days, now).withColumn(
             "ts", F.col("fetched_at"))
         history = state_table(spark, paths.trends, schemas.TREND)
         moved = materialize(trends.trends(window, history, day, now, cfg).select(

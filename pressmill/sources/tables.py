@@ -19,7 +19,7 @@ BUCKETS = 64
 
 def read(spark: SparkSession, path: str, schema) -> DataFrame:
     """The table, or no rows when nothing was written yet."""
-    return spark.read.parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
 
 
 def bucket_of(keys: list[str], buckets: int) -> Column:
@@ -46,7 +46,7 @@ def upsert(new: DataFrame, path: str, keys: list[str], version: str, partition:
         partition = "bucket"
         new = new.withColumn(partition, bucket_of(keys, buckets))
     if exists(spark, path):
-        touched = spark.read.parquet(path).join(new.select(partition).distinct(), partition, "left_semi")
+        touched = spark.read.schema(new.schema).parquet(path).select(*new.columns).join(new.select(partition).distinct(), partition, "left_semi")
         result = upserted(touched, new, keys, version)
     else:
         result = first_per_key(new, keys, [F.col(version).desc()])
@@ -57,7 +57,7 @@ def insert_ignore(new: DataFrame, path: str, keys: list[str], order: list[Column
     """First write wins."""
     spark = new.sparkSession
     if exists(spark, path):
-        rows = ignored_if_present(spark.read.parquet(path), new, keys, order)
+        rows = ignored_if_present(spark.read.schema(new.schema).parquet(path), new, keys, order)
     else:
         rows = first_per_key(new, keys, order)
     materialize(rows, "insert").write.mode("append").parquet(path)
@@ -68,7 +68,7 @@ def append_articles(articles: DataFrame, path: str) -> None:
     spark = articles.sparkSession
     rows = articles.withColumn("date", F.to_date("fetched_at"))
     if exists(spark, path):
-        rows = absent(rows, spark.read.parquet(path), ["url_hash"])
+        rows = absent(rows, spark.read.schema("url_hash string").parquet(path), ["url_hash"])
     _laid_out(materialize(rows, "articles"), ("date",)).write.mode("append").partitionBy("date").parquet(path)
 
 
