@@ -57,10 +57,13 @@ def fill(
     state = slim.groupBy("grp").agg(F.max("room").alias("room")).withColumn("after", F.lit(-1).cast("long"))
     state = materialize(state, "room")
     phases: list[DataFrame] = []
+    total = slim.count()  # no group is larger than this
     while True:
         # ``slim`` meets the state on (group, chunk): no hot group lands in one task
         open_rows = _beside(slim.drop("room"), state).filter(
             (F.col("pos") > F.col("after")) & (F.col("tokens") <= F.col("room")))
+        if total <= group_limit:
+            break
         sizes = open_rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
         big = materialize(sizes.filter(F.col("n") > group_limit).select("grp"), "big")
         if big.isEmpty():
