@@ -5,7 +5,8 @@ documents of about 4 MB. A segment lists its distinct terms (64-bit word hashes,
 word positions in the segment, as gaps. ``search`` takes the test items in blocks of bounded size against all segments.
 In a segment it orders the words of each test phrase by the length of their posting lists, takes the rarest list as
 candidates (positions less the word's offset) and intersects it with the others, rarest first. With ``slop`` a word may
-stand up to so many places off its own (proximity); 0 is the exact phrase. Nothing but matches is shuffled.
+stand up to so many places off its own, seen from the rarest word (proximity); 0 is the exact phrase. Only matches are
+shuffled.
 
 Defined results: null and wordless texts have no words and no hits; an item without words matches nothing; an item of
 null id is searched and its words are hit, but it can't be listed or counted; repeated items count once; repeated
@@ -87,8 +88,8 @@ def _phrases(flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def find(terms: np.ndarray, lengths: np.ndarray, gaps: np.ndarray, firsts: np.ndarray,
-         table: np.ndarray, inside: np.ndarray, sizes: np.ndarray, slop: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """(phrase, start position) of all matches in one segment."""
+         table: np.ndarray, inside: np.ndarray, sizes: np.ndarray, slop: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(phrase, start position, document) of all matches in one segment."""
     ends = np.cumsum(lengths)
     begins = ends - lengths
     running = np.cumsum(gaps)
@@ -104,13 +105,13 @@ def find(terms: np.ndarray, lengths: np.ndarray, gaps: np.ndarray, firsts: np.nd
     alive = np.flatnonzero(rarity.min(axis=1) > 0)
     order = np.argsort(rarity[alive], axis=1, kind="stable")
     # one ascending list of (term, position) over the wanted terms: a place is looked up by bisection
-    span = int(firsts[-1]) + 2 * (slop + table.shape[1]) + 1
+    span = int(firsts[-1]) + 1
     which = np.flatnonzero(known)
     lists = np.concatenate([positions[begins[s]:ends[s]] for s in slot[which]]) if len(which) else np.zeros(0, np.int64)
     keys = np.repeat(which, count[which]) * span + lists
     key_begin = np.zeros(len(wanted), np.int64)
     key_begin[which] = np.cumsum(count[which]) - count[which]
-    found: list[tuple[np.ndarray, np.ndarray]] = []
+    found = [(np.zeros(0, np.int64),) * 3]
     rare = cell[alive, order[:, 0]] if len(alive) else np.zeros(0, np.int64)
     load = np.cumsum(count[rare])
     low = 0
@@ -119,23 +120,25 @@ def find(terms: np.ndarray, lengths: np.ndarray, gaps: np.ndarray, firsts: np.nd
         n = count[rare[low:high]]
         phrase = np.repeat(np.arange(low, high), n)
         inner = np.arange(len(phrase)) - np.repeat(np.cumsum(n) - n, n)
-        start = lists[np.repeat(key_begin[rare[low:high]], n) + inner] - order[phrase, 0]
-        doc = np.searchsorted(firsts, start, "right") - 1
-        fits = (start >= 0) & (doc < len(firsts) - 1)
-        fits[fits] = start[fits] + sizes[alive[phrase[fits]]] <= firsts[doc[fits] + 1]
-        phrase, start = phrase[fits], start[fits]
+        anchor = lists[np.repeat(key_begin[rare[low:high]], n) + inner]
+        doc = np.searchsorted(firsts, anchor, "right") - 1
+        start = anchor - order[phrase, 0]
+        # a phrase may overhang its document by the slop only
+        fits = (start + slop >= firsts[doc]) & (start + sizes[alive[phrase]] <= firsts[doc + 1] + slop)
+        phrase, start, doc = phrase[fits], start[fits], doc[fits]
         for step in range(1, table.shape[1]):
             word = order[phrase, step]
             real = word < sizes[alive[phrase]]
-            key = cell[alive[phrase], word] * span + start + word
-            place = np.searchsorted(keys, key - np.minimum(slop, start + word))
-            hit = (place < len(keys)) & (keys[np.minimum(place, len(keys) - 1)] <= key + slop)
-            phrase, start = phrase[hit | ~real], start[hit | ~real]
-        found.append((alive[phrase], start))
+            first_place = np.maximum(start + word - slop, firsts[doc])
+            last_place = np.minimum(start + word + slop, firsts[doc + 1] - 1)
+            base = cell[alive[phrase], word] * span
+            place = np.searchsorted(keys, base + first_place)
+            hit = (place < len(keys)) & (keys[np.minimum(place, len(keys) - 1)] <= base + last_place)
+            phrase, start, doc = (x[hit | ~real] for x in (phrase, start, doc))
+        found.append((alive[phrase], start, doc))
         low = high
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate([p for p, _ in found]), np.concatenate([s for _, s in found])
+    phrase, start, doc = (np.concatenate(x) for x in zip(*found))
+    return phrase, start, doc
 
 
 def _search(block, slop: int):
@@ -148,14 +151,13 @@ def _search(block, slop: int):
                 firsts = np.r_[0, np.cumsum(sizes_in)]
                 if not len(terms):
                     continue
-                phrase, start = find(terms, lengths, gaps, firsts, table, inside, sizes, slop)
+                phrase, start, doc = find(terms, lengths, gaps, firsts, table, inside, sizes, slop)
                 if not len(phrase):
                     continue
                 change = np.zeros(int(firsts[-1]) + 1, np.int64)
-                np.add.at(change, start, 1)
-                np.add.at(change, start + sizes[phrase], -1)
+                np.add.at(change, np.maximum(start, firsts[doc]), 1)
+                np.add.at(change, np.minimum(start + sizes[phrase], firsts[doc + 1]), -1)
                 hits = np.flatnonzero(np.cumsum(change) > 0)
-                doc = np.searchsorted(firsts, start, "right") - 1
                 doc_of_hit = np.searchsorted(firsts, hits, "right") - 1
                 places = np.unique(doc)
                 good = named[phrase]

@@ -1,7 +1,9 @@
 """What the entry file registers from this package."""
 from __future__ import annotations
 
-from pressmill.llm.oracles import ORACLES
-from pressmill.llm.queries import QUERIES
+import corpus_pipeline
 
-__all__ = ["ORACLES", "QUERIES"]
+from pressmill.llm import oracles, queries
+
+QUERIES = {**queries.QUERIES, "pipeline": corpus_pipeline.run}
+ORACLES = oracles.ORACLES | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
