@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 PROBES = 3
 BITS_PER_KEY = 16
-WORDS_PER_ROW = 512
+#: few, because packing looks every slot up in a small map
+WORDS_PER_ROW = 32
 #: 2^22 words are 32 MB: the proven size of the broadcast
 MAX_WORDS = 1 << 22
 
