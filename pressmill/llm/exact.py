@@ -30,7 +30,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
     maybe = flagged.where("suspected").drop("suspected", "key")
     first = F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("row")))
-    groups = maybe.groupBy("text_sha256").agg(first.alias("first"), F.count(F.lit(1)).alias("group_size"))
+    # written, so that the join below meets two plain shuffles, of which Spark splits a hot key
+    groups = materialize(maybe.groupBy("text_sha256").agg(first.alias("first"), F.count(F.lit(1)).alias("group_size")), "groups")
     shared = maybe.join(groups, "text_sha256").select(
         "id", F.col("first.id").alias("keep_id"), "group_size", (F.col("row") == F.col("first.row")).alias("kept"), "text_sha256")
     return alone.unionByName(shared).withColumnRenamed("id", id_col)
