@@ -71,7 +71,9 @@ def repeated_lines(hashes: DataFrame, min_docs: int, max_words: int = bloom.MAX_
     words = bloom.filter_words(n, max_words)
     filters = materialize(bloom.build(pairs, "high", words), "bloom")
     maybe = bloom.suspected(pairs, "high", filters, words).where("suspected").drop("suspected")
-    shared = maybe.groupBy("high", "low").agg(F.count(F.lit(1)).alias("docs"), F.min(ROW).alias("first")).where(F.col("docs") >= min_docs)
+    # written, so that the join below meets two plain shuffles, of which Spark splits a hot line
+    shared = materialize(maybe.groupBy("high", "low").agg(
+        F.count(F.lit(1)).alias("docs"), F.min(ROW).alias("first")).where(F.col("docs") >= min_docs), "shared")
     return maybe.join(shared, ["high", "low"]).select(ROW, "high", "low", (F.col(ROW) == F.col("first")).alias("first"))
 
 
