@@ -20,8 +20,8 @@ def instant(value: dt.datetime | str | Column) -> Column:
 
 
 def parse_iso(s: Column) -> Column:
-    """ISO text with offset or Z; junk and '' give null."""
-    return F.try_to_timestamp(F.nullif(s, F.lit("")))
+    """ISO text with a whole date, offset or Z; junk, '' and a time or month alone give null."""
+    return F.when(s.rlike(r"^\s*\d{4}-\d{2}-\d{2}"), F.try_to_timestamp(s))
 
 
 def parse_feed_date(s: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .layout import GROUP_LIMIT, chunked, running_over_chunks, running_sum
+from .layout import GROUP_LIMIT, chunked, join_groups, running_over_chunks, running_sum
 
 
 def usage(ledger: DataFrame) -> DataFrame:
@@ -87,7 +87,7 @@ def fill(
     marks = marks.select(
         *[F.col(f"grp.{k}").alias(k) for k in keys], *[F.col(f"at.{o}").alias(o) for o in order],
         F.coalesce(F.col("admitted"), F.lit(False)).alias("admitted"))
-    return ledger.join(marks, list(dict.fromkeys([*keys, *order])))
+    return join_groups(ledger, marks, list(dict.fromkeys([*keys, *order])))
 
 
 def _beside(rows: DataFrame, per_group: DataFrame) -> DataFrame:
@@ -153,8 +153,7 @@ def admitted(
     if tight.isEmpty():
         return by_day
     tight_days = days.select("month", "day").join(tight, "month").filter(F.col("day") >= F.col("_from"))
-    late = ledger.join(F.broadcast(tight_days.drop("_from")) if days.count() <= 100_000
-                       else tight_days.drop("_from"), ["month", "day"])
+    late = ledger.join(tight_days.drop("_from"), ["month", "day"])
     early = by_day.join(tight_days.select("month", "day"), ["month", "day"], "left_anti")
     refilled = fill(late, ["month"], ["day", *order], "_room", **limits).drop("_room")
     return early.unionByName(refilled)

@@ -11,18 +11,17 @@ from ..params import DEFAULT_TAG, Settings
 
 
 def classified(articles: DataFrame, cfg: Settings) -> DataFrame:
-    """Adds section and perspective from title and summary, and tags from the head of the text."""
+    """Adds section, perspective and tags from the whole title and text."""
     sections = [s[0] for s in cfg.sections]
     texts = bound(articles, {
-        "_hay": haystack(F.col("title"), F.col("summary")),
-        "_head": F.lower(F.left(F.trim(F.concat_ws(" ", F.col("title"), F.col("description"))), F.lit(60))),
+        "_hay": haystack(F.col("title"), F.col("description")),
     })
     return bound(texts, {
         "section": R.valid_or(R.first_match(F.col("_hay"), cfg.section_rules, cfg.default_section),
                               sections, cfg.default_section),
         "perspective": R.first_match(F.col("_hay"), cfg.perspective_rules, cfg.default_perspective),
-        "tags": R.tags(F.col("_head"), cfg.tag_rules, DEFAULT_TAG),
-    }).drop("_hay", "_head")
+        "tags": R.tags(F.col("_hay"), cfg.tag_rules, DEFAULT_TAG),
+    }).drop("_hay")
 
 
 def enriched(articles: DataFrame, answers: DataFrame | None, cfg: Settings) -> DataFrame:

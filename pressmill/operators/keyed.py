@@ -39,16 +39,11 @@ def keyed_drop_counts(batch: DataFrame, stored: DataFrame, key: str = "url_hash"
     )
 
 
-def drop_stats(tagged: DataFrame, reason: str = "drop_reason") -> DataFrame:
-    """Rows per drop reason; null means kept."""
-    return tagged.groupBy(F.coalesce(F.col(reason), F.lit("kept")).alias(reason)).agg(F.count(F.lit(1)).alias("n"))
-
-
-def upserted(old: DataFrame, new: DataFrame, keys: list[str], version: str) -> DataFrame:
-    """Last write wins: per key the row with the highest version, the new row on a tie."""
+def upserted(old: DataFrame, new: DataFrame, keys: list[str], version: str | None) -> DataFrame:
+    """Last write wins: per key the row with the highest version, the new row on a tie and where there is no version."""
     both = old.withColumn("_side", F.lit(0)).unionByName(new.withColumn("_side", F.lit(1)))
-    best = first_per_key(both, keys, [F.col(version).desc(), F.col("_side").desc()])
-    return best.drop("_side")
+    order = [F.col(version).desc()] if version else []
+    return first_per_key(both, keys, [*order, F.col("_side").desc()]).drop("_side")
 
 
 def ignored_if_present(old: DataFrame, new: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

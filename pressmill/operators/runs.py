@@ -8,11 +8,12 @@ from .keyed import first_per_key
 
 
 def current_status(ledger: DataFrame) -> DataFrame:
-    return first_per_key(ledger, ["run_id"], [F.col("ts").desc(), F.col("status")])
+    """The latest row of each run: rows of one instant are told apart by their number in the run."""
+    return first_per_key(ledger, ["run_id"], [F.col("ts").desc(), F.col("seq").desc()])
 
 
 def last_success(ledger: DataFrame) -> DataFrame:
-    """The newest successful run (no row when there is none)."""
+    """The newest successful run (no row when there is none); run ids grow with the time of the start."""
     return ledger.filter(F.col("status") == "success").orderBy(F.col("ts").desc(), F.col("run_id").desc()).limit(1)
 
 

@@ -15,7 +15,7 @@ from .keyed import top_per_key
 
 def article_terms(articles: DataFrame, keep: list[str]) -> DataFrame:
     """One row per term occurrence."""
-    text = term_text(F.col("title"), F.col("summary"), F.col("tags"))
+    text = term_text(F.col("title"), F.coalesce("description", "summary"), F.col("tags"))
     return exploded_terms(articles, keep, text)
 
 
@@ -26,8 +26,8 @@ def term_counts(occurrences: DataFrame, term: str = "term") -> DataFrame:
 def window_counts(
     occurrences: DataFrame, windows: tuple[int, ...], as_of: Column, ts: str = "ts", term: str = "term",
 ) -> DataFrame:
-    """Occurrences per (window_days, keyword) for nested trailing windows, in one pass over the rows."""
-    inside = occurrences.filter(F.col(ts) >= days_before(as_of, max(windows)))
+    """Occurrences per (window_days, keyword) for nested trailing windows that end with ``as_of``, in one pass over the rows."""
+    inside = occurrences.filter((F.col(ts) >= days_before(as_of, max(windows))) & (F.col(ts) <= as_of))
     counts = inside.groupBy(F.col(term).alias("keyword")).agg(*[
         F.count_if(F.col(ts) >= days_before(as_of, w)).alias(f"n_{w}") for w in windows])
     stacked = F.inline(F.array(*[
@@ -69,7 +69,9 @@ def velocity_series(daily: DataFrame) -> DataFrame:
                             .otherwise(n.cast("double")), 3))
 
 
-def sample_titles(articles: DataFrame, keywords: DataFrame, as_of: Column, ts: str = "ts", k: int = 3) -> DataFrame:
+def sample_titles(
+    articles: DataFrame, keywords: DataFrame, as_of: Column, windows: tuple[int, ...], ts: str = "ts", k: int = 3,
+) -> DataFrame:
     """First ``k`` titles, newest first, that contain a keyword, per (window_days, keyword).
 
     ``keywords`` is the output of ``top_terms``: at most 3 x top terms per window, so it travels as
@@ -79,7 +81,7 @@ def sample_titles(articles: DataFrame, keywords: DataFrame, as_of: Column, ts: s
         F.col("window_days"), F.col("keyword"), F.lower("keyword").alias("low")))).scalar()
     title = F.lower(F.coalesce(F.col("title"), F.lit("")))
     found = (
-        articles.filter(F.col(ts) >= days_before(as_of, 3660))
+        articles.filter((F.col(ts) >= days_before(as_of, max(windows))) & (F.col(ts) <= as_of))
         .select(ts, "arrival", "title", title.alias("_low"), wanted.alias("_wanted"))
         .select(ts, "arrival", "title", F.inline(F.filter(
             "_wanted", lambda w: F.contains(F.col("_low"), w["low"]))))
@@ -91,20 +93,24 @@ def sample_titles(articles: DataFrame, keywords: DataFrame, as_of: Column, ts: s
 
 
 def trends(articles: DataFrame, history: DataFrame, day: dt.date, as_of: Column, cfg: Settings) -> DataFrame:
-    """All trend rows of a day, fastest first."""
+    """All trend rows of a day, to be stored whole: the next day's velocities need every one of them."""
     occurrences = article_terms(articles, ["ts"])
     top = top_terms(window_counts(occurrences, cfg.trend_windows, as_of), cfg)
     moved = with_velocity(top, previous_values(history, F.lit(day)))
-    samples = sample_titles(articles, top, as_of)
+    samples = sample_titles(articles, top, as_of, cfg.trend_windows)
     return (
         moved.join(samples, ["window_days", "keyword"], "left")
         .withColumns({"date": F.lit(day),
                       "samples": F.coalesce(F.col("samples"), F.array().cast("array<string>"))})
-        .orderBy(F.col("velocity").desc(), F.col("occurrences").desc(), "window_days", "keyword")
-        .limit(cfg.trend_top * len(cfg.trend_windows))
     )
 
 
+def fastest(moved: DataFrame, cfg: Settings) -> DataFrame:
+    """The trend rows that an edition shows."""
+    order = [F.col("velocity").desc(), F.col("occurrences").desc(), F.col("window_days"), F.col("keyword")]
+    return moved.orderBy(*order).limit(cfg.trend_top * len(cfg.trend_windows))
+
+
 def bursts(
     occurrences: DataFrame, documents: DataFrame, as_of: Column, cfg: Settings, ts: str = "ts", term: str = "term",
 ) -> DataFrame:
@@ -113,7 +119,7 @@ def bursts(
     Both windows are counted in one pass; the two document counts come in as a scalar subquery.
     """
     recent = F.col(ts) >= days_before(as_of, cfg.burst_days)
-    baseline = F.col(ts) >= days_before(as_of, cfg.burst_baseline_days)
+    baseline = (F.col(ts) >= days_before(as_of, cfg.burst_baseline_days)) & (F.col(ts) <= as_of)
     totals = documents.filter(baseline).agg(F.struct(
         F.greatest(F.count_if(recent), F.lit(1)).alias("recent"),
         F.greatest(F.count(F.lit(1)), F.lit(1)).alias("base"))).scalar()

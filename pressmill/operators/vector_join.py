@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.vectors import norm
 from ..session import materialize
 from .greedy import keep_first
 
@@ -29,20 +30,22 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
 
 
 def unit_rows(rows: DataFrame, vector: str, arrival: str) -> DataFrame:
-    """(arrival, dim, unit): rows of norm 0 and empty vectors are similar to nothing and are left out."""
+    """(arrival, dim, unit) of the rows that can be similar to another.
+
+    Vectors that are empty, have a null or NaN, or a norm that is 0 (underflow counts) or infinite are similar
+    to nothing and are left out here; those who drop rows keep them."""
     def scale(batches):
         for pdf in batches:
-            arrays = [np.asarray(v, dtype=np.float64) for v in pdf[vector]]
-            norms = np.array([math.sqrt(float(a @ a)) for a in arrays])
-            keep = norms > 0
-            yield pd.DataFrame({
-                "arrival": pdf[arrival][keep].to_numpy(),
-                "dim": np.array([len(a) for a in arrays], dtype=np.int32)[keep],
-                "unit": [a / n for a, n, k in zip(arrays, norms, keep) if k],
-            })
-
-    wanted = rows.filter(F.size(vector) > 0).select(
-        F.col(arrival).cast("long").alias(arrival), F.col(vector).cast("array<double>").alias(vector))
+            if len(pdf):
+                arrays = [np.asarray(v, dtype=np.float64) for v in pdf[vector]]
+                yield pd.DataFrame({
+                    "arrival": pdf[arrival].to_numpy(), "dim": np.array([len(a) for a in arrays], dtype=np.int32),
+                    "unit": [a / math.sqrt(float(a @ a)) for a in arrays]})
+
+    wanted = rows.select(F.col(arrival).cast("long").alias(arrival), F.col(vector).cast("array<double>").alias(vector)).filter(
+        (F.size(vector) > 0) & ~F.exists(vector, lambda x: x.isNull() | F.isnan(x)))
+    length = norm(F.col(vector))
+    wanted = wanted.filter((length > 0) & (length < float("inf")))
     return wanted.mapInPandas(scale, "arrival long, dim int, unit array<double>")
 
 
@@ -160,11 +163,9 @@ def keep_first_vectors(
     kept = keep_first(
         single, lambda p, i, e: nearest_vectors(p, i, e, threshold, refs, block), "arrival",
         settle=lambda left: settle_vectors(left, threshold), settle_rows=block, **batches)
-    nothing_alike = rows.filter(F.coalesce(F.size(vector), F.lit(0)) <= 0).select(F.col(arrival).alias("arrival"))
-    null_norm = rows.filter(F.size(vector) > 0).filter(F.forall(vector, lambda x: x == 0)).select(
-        F.col(arrival).alias("arrival"))
-    survivors = kept.select("arrival").unionByName(nothing_alike).unionByName(null_norm)
-    return rows.join(survivors.withColumnRenamed("arrival", arrival), arrival, "left_semi")
+    # whatever was never compared is not dropped
+    dropped = units.select("arrival").join(kept.select("arrival"), "arrival", "left_anti")
+    return rows.join(dropped.withColumnRenamed("arrival", arrival), arrival, "left_anti")
 
 
 def not_near(

@@ -102,15 +102,15 @@ SCORED_SQL = f"""{ARTICLES_SQL}, ax AS (
   SELECT * FROM bo WHERE final_score >= {CORPUS.final_score_min}e0 AND source_confidence >= {CORPUS.confidence_min}e0
 )"""
 
-_tag_cases = ", ".join(f"CASE WHEN contains(head, {lit(k)}) THEN {lit(t)} END" for k, t in CORPUS.tag_rules)
+_tag_cases = ", ".join(f"CASE WHEN contains(hay2, {lit(k)}) THEN {lit(t)} END" for k, t in CORPUS.tag_rules)
 CLASSIFIED_SQL = f"""cl AS (
   SELECT * REPLACE (CASE WHEN len(tags) > 0 THEN tags[1:5] ELSE ['ai'] END AS tags)
   FROM (SELECT *,
     {first_match_sql("hay2", CORPUS.section_rules, CORPUS.default_section)} AS section,
     {first_match_sql("hay2", CORPUS.perspective_rules, CORPUS.default_perspective)} AS perspective,
     list_filter([{_tag_cases}], lambda t: t IS NOT NULL) AS tags
-  FROM (SELECT *, lower(title || ' ' || summary) AS hay2,
-    lower(left(trim(title || ' ' || description), 60)) AS head FROM pub)))"""
+  FROM (SELECT *, lower(title || ' ' || description) AS hay2
+    FROM pub)))"""
 
 _positions = ", ".join(f"({i}, {lit(s[0])}, {lit(s[2])})" for i, s in enumerate(CORPUS.sections))
 PLACED_SQL = f"""sec(position, id, label) AS (VALUES {_positions}),
@@ -531,7 +531,7 @@ for _c, _e in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("
     _safe = f"replace({_safe}, '{_c}', '{_e}')"
 
 
-@query("highlight", f"""SELECT doc_id, regexp_replace({_safe}, '(the)', '<mark class="dai-hit">\\1</mark>', 'gi') AS text FROM documents""")
+@query("highlight", f"""SELECT doc_id, regexp_replace({_safe}, '(the)', '<mark>\\1</mark>', 'gi') AS text FROM documents""")
 def highlight(spark, sf):
     return table(spark, sf, "documents").select("doc_id", SE.highlighted(F.col("text"), "the").alias("text"))
 
@@ -568,7 +568,7 @@ def token_counts(spark, sf):
 def windows_sql(as_of_text: str, top: bool = True) -> str:
     parts = " UNION ALL ".join(
         f"SELECT {w} AS window_days, term AS keyword, count(*) AS occurrences FROM occ "
-        f"WHERE ts >= TIMESTAMP '{as_of_text}' - INTERVAL {w} DAY AND ts < TIMESTAMP '{as_of_text}' GROUP BY term"
+        f"WHERE ts >= TIMESTAMP '{as_of_text}' - INTERVAL {w} DAY AND ts <= TIMESTAMP '{as_of_text}' GROUP BY term"
         for w in CORPUS.trend_windows)
     if not top:
         return parts
@@ -593,8 +593,7 @@ def _history(spark, sf):
     days = []
     for past in PAST:
         then = TM.instant(past)
-        seen = occurrences(spark, sf).filter(F.col("ts") < then)
-        days.append(TR.window_counts(seen, CORPUS.trend_windows, then).withColumn("date", F.lit(past[:10]).cast("date")))
+        days.append(TR.window_counts(occurrences(spark, sf), CORPUS.trend_windows, then).withColumn("date", F.lit(past[:10]).cast("date")))
     return days[0].unionByName(days[1])
 
 
@@ -610,14 +609,37 @@ ORDER BY velocity DESC, occurrences DESC, window_days, keyword LIMIT {CORPUS.tre
 def trend_velocity(spark, sf):
     top = TR.top_terms(TR.window_counts(occurrences(spark, sf), CORPUS.trend_windows, as_of()), CORPUS)
     previous = TR.previous_values(_history(spark, sf), F.lit("2024-01-31").cast("date"))
-    return (
-        TR.with_velocity(top, previous)
-        .orderBy(F.col("velocity").desc(), F.col("occurrences").desc(), "window_days", "keyword")
-        .limit(CORPUS.trend_top * len(CORPUS.trend_windows))
-        .select("window_days", "keyword", "occurrences", "prev", "velocity", "direction"))
+    return TR.fastest(TR.with_velocity(top, previous), CORPUS).select(
+        "window_days", "keyword", "occurrences", "prev", "velocity", "direction")
 
 
-_term_text = "(title || ' ' || summary || ' ' || array_to_string(tags, ' '))"
+INSIDE = ("2024-01-20 00:00:00", "2024-01-21 00:00:00")
+
+
+def _stored_sql(day: str) -> str:
+    return f"SELECT * FROM ({windows_sql(day)}) WHERE occurrences >= {CORPUS.trend_min_count}"
+
+
+@query("trend_history", f"""WITH {OCCURRENCES_SQL}, first AS ({_stored_sql(INSIDE[0])}), second AS ({_stored_sql(INSIDE[1])}),
+rows AS (SELECT DATE '{INSIDE[0][:10]}' AS date, *, 0::BIGINT AS prev FROM first
+  UNION ALL SELECT DATE '{INSIDE[1][:10]}', second.*, coalesce(first.occurrences, 0) FROM second LEFT JOIN first USING (window_days, keyword))
+SELECT CAST(date AS VARCHAR) AS date, window_days, keyword, occurrences, prev,
+  round(CASE WHEN prev > 0 THEN (occurrences - prev) / prev::DOUBLE ELSE occurrences::DOUBLE END, 3) AS velocity FROM rows""")
+def trend_history(spark, sf):
+    """Two days inside the data: each stores all its recurring top terms, the second moves against the first."""
+    path = scratch_path(spark, "history")
+    for day in INSIDE:
+        now, date = TM.instant(day), F.lit(day[:10]).cast("date")
+        top = TR.top_terms(TR.window_counts(occurrences(spark, sf), CORPUS.trend_windows, now), CORPUS)
+        stored = T.read(spark, path, "window_days int, keyword string, occurrences bigint, prev bigint, velocity double, date date")
+        moved = TR.with_velocity(top, TR.previous_values(stored, date)).withColumn("date", date)
+        T.upsert(moved.select("window_days", "keyword", "occurrences", "prev", "velocity", "date"), path,
+                 ["date", "window_days", "keyword"], partition="date")
+    return spark.read.parquet(path).select(
+        F.col("date").cast("string").alias("date"), "window_days", "keyword", "occurrences", "prev", "velocity")
+
+
+_term_text = "(title || ' ' || description || ' ' || array_to_string(tags, ' '))"
 
 
 @query("trend_samples", f"""WITH {ARTICLES_SQL}, {_ALL},
@@ -626,13 +648,13 @@ top AS ({windows_sql(AS_OF_TEXT)}),
 found AS (SELECT window_days, keyword, title, row_number() OVER (
     PARTITION BY window_days, keyword ORDER BY fetched_at DESC, arrival) AS rn
   FROM top JOIN cl ON contains(lower(title), lower(keyword))
-    AND fetched_at >= TIMESTAMP '{AS_OF_TEXT}' - to_days(window_days))
+    AND fetched_at >= TIMESTAMP '{AS_OF_TEXT}' - to_days(window_days) AND fetched_at <= TIMESTAMP '{AS_OF_TEXT}')
 SELECT window_days, keyword, string_agg(title, ' | ' ORDER BY rn) AS samples FROM found WHERE rn <= 3
 GROUP BY window_days, keyword""")
 def trend_samples(spark, sf):
     rows = classified(articles(spark, sf), CORPUS).withColumn("ts", F.col("fetched_at"))
     top = TR.top_terms(TR.window_counts(TR.article_terms(rows, ["ts"]), CORPUS.trend_windows, as_of()), CORPUS)
-    return TR.sample_titles(rows, top, as_of()).select(
+    return TR.sample_titles(rows, top, as_of(), CORPUS.trend_windows).select(
         "window_days", "keyword", F.array_join("samples", " | ").alias("samples"))
 
 
@@ -654,8 +676,9 @@ BURST = replace(CORPUS, burst_days=2, burst_baseline_days=30, burst_min_ratio=1.
 
 @query("burst_topics", f"""WITH {OCCURRENCES_SQL},
 base AS (SELECT *, ts >= TIMESTAMP '{AS_OF_TEXT}' - INTERVAL 2 DAY AS recent FROM occ
-  WHERE ts >= TIMESTAMP '{AS_OF_TEXT}' - INTERVAL 30 DAY),
-tot AS (SELECT greatest(1, count(*) FILTER (WHERE recent)) AS r, greatest(1, count(*)) AS b FROM base),
+  WHERE ts BETWEEN TIMESTAMP '{AS_OF_TEXT}' - INTERVAL 30 DAY AND TIMESTAMP '{AS_OF_TEXT}'),
+tot AS (SELECT greatest(1, count(*) FILTER (WHERE recent)) AS r, greatest(1, count(*)) AS b FROM
+  (SELECT max(ts) >= TIMESTAMP '{AS_OF_TEXT}' - INTERVAL 2 DAY AS recent FROM base GROUP BY user_id, CAST(ts AS DATE))),
 c AS (SELECT term AS keyword, count(*) FILTER (WHERE recent) AS n, count(*) AS nb FROM base GROUP BY term
   HAVING count(*) FILTER (WHERE recent) > 0 ORDER BY n DESC, keyword LIMIT {BURST.burst_terms}),
 g AS (SELECT keyword, n AS occurrences_recent, (n / r::DOUBLE) / (nb / b::DOUBLE) AS ratio FROM c, tot)
@@ -663,8 +686,10 @@ SELECT keyword, occurrences_recent, round(ratio, 2) AS growth_ratio, false AS is
 WHERE occurrences_recent >= 3 AND ratio >= {BURST.burst_min_ratio}e0
 ORDER BY growth_ratio DESC, occurrences_recent DESC, keyword LIMIT {BURST.burst_top}""")
 def burst_topics(spark, sf):
+    """Terms are events; a document is what one user did on one day, of the time of the last event."""
     rows = occurrences(spark, sf)
-    return TR.bursts(rows, rows, as_of(), BURST)
+    days = rows.filter(F.col("ts").between(TM.days_before(as_of(), BURST.burst_baseline_days), as_of()))
+    return TR.bursts(rows, days.groupBy("user_id", F.to_date("ts")).agg(F.max("ts").alias("ts")), as_of(), BURST)
 
 
 # ---------------------------------------------------------------- vectors and titles
@@ -722,6 +747,33 @@ def vector_dedup_keep_first(spark, sf):
     return keep_first_vectors(vectors(spark, sf), CORPUS.vector_threshold).select(F.col("arrival").alias("vec_id"))
 
 
+@query("vector_dedup_blocks", ORACLES["vector_dedup_keep_first"])
+def vector_dedup_blocks(spark, sf):
+    """The same with limits so low that cells, block pairs, batches and rounds are all used."""
+    return keep_first_vectors(vectors(spark, sf), CORPUS.vector_threshold, cell_rows=100, block=64, first_batch=150).select(
+        F.col("arrival").alias("vec_id"))
+
+
+_odd = """CASE vec_id % 5 WHEN 0 THEN list_transform(embedding, lambda x: 0::DOUBLE)
+  WHEN 1 THEN list_transform(embedding, lambda x: 'nan'::DOUBLE) WHEN 2 THEN list_transform(embedding, lambda x: 1e-200::DOUBLE)
+  WHEN 3 THEN list_append(embedding::DOUBLE[], NULL) ELSE embedding::DOUBLE[] END"""
+
+
+@query("vector_dedup_odd", f"""WITH RECURSIVE {greedy_sql(
+    "SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id % 5 = 4",
+    f"list_cosine_similarity(a.v, b.v) >= {CORPUS.vector_threshold}e0")}
+SELECT id AS vec_id FROM e JOIN kept USING (rn) UNION ALL SELECT vec_id FROM embeddings WHERE vec_id % 5 <> 4""")
+def vector_dedup_odd(spark, sf):
+    """Vectors of zeros, of NaN, of a norm that underflows or with a null are similar to nothing and stay."""
+    kind = F.col("arrival") % 5
+    odd = (F.when(kind == 0, F.transform("embedding", lambda x: F.lit(0.0)))
+           .when(kind == 1, F.transform("embedding", lambda x: F.lit(float("nan"))))
+           .when(kind == 2, F.transform("embedding", lambda x: F.lit(1e-200)))
+           .when(kind == 3, F.concat("embedding", F.array(F.lit(None).cast("double")))).otherwise(F.col("embedding")))
+    rows = vectors(spark, sf).withColumn("embedding", odd).repartition(5, F.pmod("arrival", F.lit(5)))
+    return keep_first_vectors(rows, CORPUS.vector_threshold).select(F.col("arrival").alias("vec_id"))
+
+
 CLUSTERS_SQL = f"""WITH RECURSIVE {_vectors_greedy(CORPUS.cluster_threshold)},
 led AS (SELECT m.id, m.rn, min(l.rn) AS lead FROM e m JOIN (SELECT e.* FROM e JOIN kept USING (rn)) l
   ON l.rn = m.rn OR (l.rn < m.rn AND list_cosine_similarity(l.v, m.v) >= {CORPUS.cluster_threshold}e0) GROUP BY m.id, m.rn),
@@ -770,6 +822,12 @@ def title_contained_keep_first(spark, sf):
     return keep_first_titles(articles(spark, sf).select("arrival", "title"), 100.0).select("arrival")
 
 
+@query("title_contained_split", ORACLES["title_contained_keep_first"])
+def title_contained_split(spark, sf):
+    """The same with limits so low that keys are split and rows come in batches."""
+    return keep_first_titles(articles(spark, sf).select("arrival", "title"), 100.0, limit=40, first_batch=300).select("arrival")
+
+
 # ---------------------------------------------------------------- keyed state
 
 _STORED_SQL = f"{ARTICLES_SQL}, stored AS (SELECT DISTINCT url_hash FROM art WHERE lang = 'de')"
@@ -822,6 +880,19 @@ def upsert_latest(spark, sf):
     return spark.read.parquet(path).select("user_id", "event_type", "event_id", "value")
 
 
+@query("upsert_rerun", f"""SELECT user_id, event_type, n FROM (
+  SELECT user_id, event_type, count(*) AS n, 1 AS side FROM events WHERE {_late} GROUP BY ALL
+  UNION ALL SELECT user_id, event_type, count(*), 0 FROM events GROUP BY ALL)
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY side DESC) = 1""")
+def upsert_rerun(spark, sf):
+    """A rerun with lower counts replaces what was stored: the later write wins, not the larger value."""
+    rows = occurrences(spark, sf)
+    path = scratch_path(spark, "rerun")
+    for part in (rows, rows.filter(F.col("ts") >= TM.instant("2024-01-10"))):
+        T.upsert(part.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n")), path, ["user_id", "event_type"], buckets=8)
+    return spark.read.parquet(path).select("user_id", "event_type", "n")
+
+
 @query("insert_ignore", """SELECT user_id, event_type, min(event_id) AS event_id FROM events GROUP BY user_id, event_type""")
 def insert_ignore(spark, sf):
     rows = occurrences(spark, sf).select("user_id", "event_type", "event_id", "ts")
@@ -841,9 +912,11 @@ def run_latest(spark, sf):
 
 
 @query("run_status", """SELECT user_id AS run_id, event_type AS status, event_id FROM events
-QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_type) = 1""")
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY CAST(ts AS DATE) DESC, event_id DESC) = 1""")
 def run_status(spark, sf):
-    runs = occurrences(spark, sf).withColumnsRenamed({"user_id": "run_id", "event_type": "status"})
+    """Status rows of one day have one time, so their number decides."""
+    runs = occurrences(spark, sf).withColumnsRenamed({"user_id": "run_id", "event_type": "status"}).withColumns(
+        {"ts": F.to_date("ts").cast("timestamp"), "seq": F.col("event_id")})
     return RU.current_status(runs).select("run_id", "status", "event_id")
 
 
@@ -879,6 +952,21 @@ def budget_running(spark, sf):
         "conv_id", "turn", "day", "tokens", "used", "over_cap")
 
 
+@query("budget_running_chunks", ORACLES["budget_running"])
+def budget_running_chunks(spark, sf):
+    """The same with every day cut into chunks."""
+    return B.running_usage(ledger(spark, sf), ["day"], ["conv_id", "turn"], CORPUS.daily_token_budget, group_limit=5, chunks=7).select(
+        "conv_id", "turn", "day", "tokens", "used", "over_cap")
+
+
+@query("budget_running_null_day", f"""WITH {LEDGER_SQL}, n AS (SELECT * REPLACE (CASE WHEN day % 3 <> 0 THEN day END AS day) FROM led)
+SELECT conv_id, turn, day, tokens, CAST(sum(tokens) OVER (PARTITION BY day ORDER BY conv_id, turn ROWS UNBOUNDED PRECEDING) AS BIGINT) AS used FROM n""")
+def budget_running_null_day(spark, sf):
+    """Calls without a day are a group of their own, whatever form is used."""
+    rows = ledger(spark, sf).withColumn("day", F.when(F.col("day") % 3 != 0, F.col("day")))
+    return B.running_usage(rows, ["day"], ["conv_id", "turn"], 1, group_limit=5, chunks=7).select("conv_id", "turn", "day", "tokens", "used")
+
+
 @query("budget_admission", f"""WITH RECURSIVE {LEDGER_SQL},
 o AS (SELECT *, row_number() OVER (ORDER BY day, conv_id, turn) AS rn FROM led),
 f(rn, day, used_day, used_month, ok) AS (
@@ -894,6 +982,13 @@ def budget_admission(spark, sf):
         "conv_id", "turn", "day", "tokens", "admitted")
 
 
+@query("budget_admission_phases", ORACLES["budget_admission"])
+def budget_admission_phases(spark, sf):
+    """The same with groups worked off in phases."""
+    return B.admitted(ledger(spark, sf), ["conv_id", "turn"], CORPUS.daily_token_budget, CORPUS.monthly_token_budget,
+                      group_limit=8, chunks=5).select("conv_id", "turn", "day", "tokens", "admitted")
+
+
 @query("json_extract", """SELECT event_id,
   CASE WHEN event_id % 3 = 0 THEN CAST(-1 AS INTEGER) ELSE CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k FROM events""")
 def json_extract(spark, sf):

@@ -75,7 +75,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.select(
         doc.alias("arrival"),
         F.concat(F.lit("https://"), F.col("source"), F.lit(".example.org/a/"), doc.cast("string")).alias("url"),
-        "url_hash", "title", "description", F.left("description", F.lit(200)).alias("summary"),
+        "url_hash", "title", "description", F.col("description").alias("summary"),
         F.when(doc % 3 == 0, "").otherwise("noted").alias("insight"),
         F.lit(None).cast("string").alias("market_impact"),
         F.when(doc % 10 == 0, "critical").when(doc % 10 < 4, "high").otherwise("medium").alias("importance"),
@@ -99,7 +99,7 @@ ARTICLES_SQL = f"""art AS (
     left(sha256(text), 16) AS url_hash,
     {squeeze_sql("split_part(text, chr(10), 1)")} AS title,
     {squeeze_sql("text")} AS description,
-    left({squeeze_sql("text")}, 200) AS summary,
+    {squeeze_sql("text")} AS summary,
     CASE WHEN doc_id % 3 = 0 THEN '' ELSE 'noted' END AS insight,
     CASE WHEN doc_id % 10 = 0 THEN 'critical' WHEN doc_id % 10 < 4 THEN 'high' ELSE 'medium' END AS importance,
     source AS source_id, source AS source_name,

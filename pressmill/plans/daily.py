@@ -21,8 +21,10 @@ from ..operators.title_join import keep_first_titles
 from ..operators.vector_join import keep_first_vectors, not_near
 from ..params import Settings
 from ..session import configure, materialize
-from ..sources import state, tables
+from ..sources import landed, state, tables
 
+#: what decides which copy of an item came first, when the rows don't say so themselves
+ARRIVAL_ORDER = ["source_id", "feed_pos", "published_at", "url", "title"]
 ARTICLE_COLUMNS = [
     "url_hash", "url", "title", "description", "summary", "insight", "perspective", "importance", "market_impact",
     "tags", "section", "source_id", "source_name", "source_confidence", "tier", "relevance", "novelty", "impact",
@@ -77,11 +79,11 @@ def process(
     configure(spark)
     cfg = cfg or Settings()
     now, day = instant(as_of), as_of.date()
-    run_id, started = uuid.uuid4().hex, time.monotonic()
+    run_id, started = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}", time.monotonic()  # grows with the start
     tables.append_run(spark, paths.runs, run_id, "running", now, {})
     try:
         fetched = Observation("fetched")
-        numbered = raw if "arrival" in raw.columns else raw.withColumn("arrival", F.monotonically_increasing_id())
+        numbered = raw if "arrival" in raw.columns else landed.numbered(raw, [c for c in ARRIVAL_ORDER if c in raw.columns])
         seen = numbered.observe(fetched, F.count(F.lit(1)).alias("n"))
         articles = materialize(normalize(seen, now), "normalized")
 
@@ -99,7 +101,7 @@ def process(
         if vectors is not None:
             kept_vectors = kept.filter(F.size("embedding") > 0).select(
                 "url_hash", F.col("embedding").alias("vector"), now.alias("created_at"))
-            tables.upsert(kept_vectors, paths.embeddings, ["url_hash"], "created_at")
+            tables.upsert(kept_vectors, paths.embeddings, ["url_hash"])
 
         window = state.articles_in_window(
             state_table(spark, paths.articles, STORED_ARTICLE), cfg.burst_baseline_days, now).withColumn(
@@ -107,7 +109,7 @@ def process(
         history = state_table(spark, paths.trends, schemas.TREND)
         moved = materialize(trends.trends(window, history, day, now, cfg).select(
             "date", "window_days", "keyword", "occurrences", "velocity", "samples"), "trends")
-        tables.upsert(moved, paths.trends, ["date", "window_days", "keyword"], "occurrences", partition="date")
+        tables.upsert(moved, paths.trends, ["date", "window_days", "keyword"], partition="date")
         emerging = trends.bursts(trends.article_terms(window, ["ts"]), window, now, cfg)
         suggested = materialize(source_candidates(published, state.source_registry(spark, cfg)), "candidates")
         tables.insert_ignore(
@@ -118,7 +120,7 @@ def process(
             told = narrated(window, state_table(spark, paths.embeddings, schemas.EMBEDDING), stories, cfg, now)
             if stories is not None:
                 tables.upsert(told.select("thread_title", "arc", "implication", "started_at", "ended_at"),
-                              paths.narratives, ["thread_title", "started_at"], "ended_at")
+                              paths.narratives, ["thread_title", "started_at"])
 
         result = assembled(published, moved, emerging, suggested, told, drops, day, now, cfg)
         tables.write_edition(materialize(result, "edition"), paths.archive)
@@ -158,8 +160,9 @@ def assembled(published, moved, emerging, suggested, told, drops, day, now, cfg:
                   for i, icon, label in cfg.sections]).alias("sections"))
     body = materialize(body.unionByName(empty.join(body.select("date"), "date", "left_anti")), "body")
 
-    def listed(rows: DataFrame, name: str, *columns: str) -> DataFrame:
-        return rows.agg(F.collect_list(F.struct(*columns)).alias(name)).withColumn("date", F.lit(day))
+    def listed(rows: DataFrame, name: str, order: list, *columns: str) -> DataFrame:
+        held = F.array_sort(F.collect_list(F.struct(*[c.alias(f"o{k}") for k, c in enumerate(order)], F.struct(*columns).alias("item"))))
+        return rows.agg(F.transform(held, lambda x: x["item"]).alias(name)).withColumn("date", F.lit(day))
 
     dropped = published.sparkSession.range(1).select(
         F.lit(day).alias("date"), F.lit(sum(drops.values())).cast("long").alias("dropped"))
@@ -172,12 +175,12 @@ def assembled(published, moved, emerging, suggested, told, drops, day, now, cfg:
     out = body.withColumns({"generated_at": now, "dedup": F.create_map(
         *[x for k, v in drops.items() for x in (F.lit(k), F.lit(int(v)))])})
     parts = [
-        shown, mark, listed(moved, "trends", "keyword", "window_days", "occurrences", "velocity", "samples"),
-        listed(emerging, "emerging_topics", "keyword", "occurrences_recent", "growth_ratio", "is_cjk"),
-        listed(suggested, "suggested_sources", "host", "url", "n", "score", "reason"),
+        shown, mark, listed(trends.fastest(moved, cfg), "trends", [-F.col("velocity"), -F.col("occurrences"), F.col("window_days"), F.col("keyword")], "keyword", "window_days", "occurrences", "velocity", "samples"),
+        listed(emerging, "emerging_topics", [-F.col("growth_ratio"), -F.col("occurrences_recent"), F.col("keyword")], "keyword", "occurrences_recent", "growth_ratio", "is_cjk"),
+        listed(suggested, "suggested_sources", [-F.col("n"), F.col("host")], "host", "url", "n", "score", "reason"),
     ]
     if told is not None:
-        parts.append(listed(told, "narratives", "thread_title", "arc", "implication", "started_at", "ended_at"))
+        parts.append(listed(told, "narratives", [F.col("started_at"), F.col("thread_title")], "thread_title", "arc", "implication", "started_at", "ended_at"))
     for part in parts:
         out = out.join(part, "date", "left")
     return out
@@ -187,12 +190,14 @@ def publish(spark: SparkSession, paths: Paths, day: dt.date, cfg: Settings | Non
     """Writes search table and edition index from the archive; returns the alert rows of the day."""
     configure(spark)
     cfg = cfg or Settings()
-    archive = spark.read.parquet(paths.archive)
-    chosen = state.edition_or_latest(archive, day)
-    tables.write_search_index(edition.flattened(chosen, cfg), paths.search_index)
-    tables.write_edition_index(archive, paths.edition_index)
-    checked = spark.range(1).select(F.lit(day).alias("date")).join(
-        chosen.select(edition.n_articles().alias("n_articles")), F.lit(True), "left")
+    number = F.lit(None).cast("int")
+    if landed.exists(spark, paths.archive):
+        archive = spark.read.parquet(paths.archive)
+        chosen = state.edition_or_latest(archive, day)
+        tables.write_search_index(edition.flattened(chosen, cfg), paths.search_index)
+        tables.write_edition_index(archive, paths.edition_index)
+        number = chosen.agg(F.max(edition.n_articles())).scalar()  # one edition at most
+    checked = spark.range(1).select(F.lit(day).alias("date"), number.alias("n_articles"))
     return edition.alerts(checked.select(
         "date", "n_articles", F.lit(True).alias("email_ok"), F.lit(True).alias("publish_ok"),
         F.array().cast("array<string>").alias("errors")), cfg)

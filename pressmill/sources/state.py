@@ -15,15 +15,11 @@ def source_registry(spark: SparkSession, cfg: Settings) -> DataFrame:
     return spark.createDataFrame(cfg.known_sources, schemas.SOURCE)
 
 
-def enabled_sources(registry: DataFrame) -> DataFrame:
-    return registry.filter(F.coalesce("enabled", F.lit(True)))
-
-
 def articles_in_window(articles: DataFrame, days: int, as_of: Column) -> DataFrame:
-    """Articles fetched in the last ``days`` days; the test on the date prunes partitions."""
+    """Articles fetched in the last ``days`` days up to ``as_of``; the test on the date prunes partitions."""
     cutoff = days_before(as_of, days)
-    inside = articles.filter(F.col("fetched_at") >= cutoff)
-    return inside.filter(F.col("date") >= F.to_date(cutoff)) if "date" in articles.columns else inside
+    inside = articles.filter((F.col("fetched_at") >= cutoff) & (F.col("fetched_at") <= as_of))
+    return inside.filter(F.col("date").between(F.to_date(cutoff), F.to_date(as_of))) if "date" in articles.columns else inside
 
 
 def recent_titles(articles: DataFrame, days: int, as_of: Column) -> DataFrame:

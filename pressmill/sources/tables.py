@@ -37,10 +37,11 @@ def overwrite_partitions(df: DataFrame, path: str, *partitions: str) -> None:
     _laid_out(df, partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
 
-def upsert(new: DataFrame, path: str, keys: list[str], version: str, partition: str | None = None,
+def upsert(new: DataFrame, path: str, keys: list[str], version: str | None = None, partition: str | None = None,
            buckets: int = BUCKETS) -> None:
-    """Last write wins. ``partition`` must be one of the keys; without it rows go to hash buckets, whose
-    number must stay the same for a table."""
+    """Last write wins: by ``version``, or by the order of the writes without one (then the keys of a write
+    are unique). ``partition`` must be one of the keys; without it rows go to hash buckets, whose number must
+    stay the same for a table."""
     spark = new.sparkSession
     if partition is None:
         partition = "bucket"
@@ -49,7 +50,7 @@ def upsert(new: DataFrame, path: str, keys: list[str], version: str, partition:
         touched = spark.read.schema(new.schema).parquet(path).select(*new.columns).join(new.select(partition).distinct(), partition, "left_semi")
         result = upserted(touched, new, keys, version)
     else:
-        result = first_per_key(new, keys, [F.col(version).desc()])
+        result = first_per_key(new, keys, [F.col(version).desc() if version else F.col(keys[0])])
     overwrite_partitions(materialize(result, "upsert"), path, partition)
 
 
@@ -73,11 +74,12 @@ def append_articles(articles: DataFrame, path: str) -> None:
 
 
 def append_run(spark: SparkSession, path: str, run_id: str, status: str, ts: Column, metrics: dict[str, float]) -> None:
-    """One status row of a run: running, success, failed."""
+    """One status row of a run: running (seq 0), then success or failed (seq 1)."""
     pairs = [x for k, v in metrics.items() for x in (F.lit(k), F.lit(float(v)))]
     values = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,double>")
     spark.range(1).select(
         F.lit(run_id).alias("run_id"), F.lit(status).alias("status"), ts.alias("ts"),
+        F.lit(0 if status == "running" else 1).cast("long").alias("seq"),
         values.cast("map<string,double>").alias("metrics"),
     ).write.mode("append").parquet(path)
 
