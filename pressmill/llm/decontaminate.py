@@ -1,7 +1,7 @@
 """Benchmark decontamination by a positional inverted index.
 
 ``build_index`` stores the postings of every word of every document in a table: one row for a segment, a run of whole
-documents of about 4 MB. A segment lists its distinct terms (64-bit word hashes, sorted) and, per term, the ascending
+documents of about 2 MB. A segment lists its distinct terms (64-bit word hashes, sorted) and, per term, the ascending
 word positions in the segment, as gaps. ``search`` takes the test items in blocks of bounded size against all segments.
 In a segment it orders the words of each test phrase by the length of their posting lists, takes the rarest list as
 candidates (positions less the word's offset) and intersects it with the others, rarest first. With ``slop`` a word may
@@ -26,7 +26,7 @@ from pressmill.llm import words as W
 from pressmill.session import materialize, scratch_path
 
 WINDOW = 10
-SEGMENT_BYTES = 4 << 20
+SEGMENT_BYTES = 2 << 20
 #: words of test items that are searched, and held in memory, at once
 BLOCK_WORDS = 100_000
 #: candidate places that one step of a search holds in memory

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pressmill.llm import bloom
-from pressmill.llm.words import list_of, lists, utf8
+from pressmill.llm.words import list_of, lists, slices, utf8
 from pressmill.session import materialize
 
 MIN_DOCS = 10
@@ -37,7 +37,7 @@ def _digests(body: bytes) -> np.ndarray:
 
 
 def _line_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole)):
         found = [np.unique(d[d.any(axis=1)], axis=0) for d in (_digests(b) for b in batch.column(1).to_pylist())]
         flat = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
         bounds = np.cumsum([0, *map(len, found)])
@@ -46,7 +46,7 @@ def _line_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole)):
         texts, total, gone = [], [], []
         for k, body in enumerate(batch.column(1).to_pylist()):
             split = body.split(b"\n")

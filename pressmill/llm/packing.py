@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressmill.llm.words import utf8
+from pressmill.llm.words import slices, utf8
 from pressmill.session import materialize
 
 CAPACITY = 2048
@@ -32,7 +32,7 @@ SHARD_PIECES = 4096
 
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words, and a hash of their sequence: texts equal but for white space are one cluster."""
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole)):
         words = [body.as_py().split() for body in batch.column(1)]
         digest = np.array([xxhash.xxh3_64_intdigest(b" ".join(w)) for w in words], np.uint64).view(np.int64)
         n = pa.array([len(w) for w in words], pa.int64())

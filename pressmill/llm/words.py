@@ -13,7 +13,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 BLANK = 32
-SLAB_BYTES = 2 << 20
+#: bytes of text worked on at once: what numpy holds for them is some fifty times as much
+SLAB_BYTES = 512 << 10
 
 
 def _table(is_word) -> np.ndarray:
@@ -47,6 +48,12 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return body[bounds[0]:bounds[-1]], bounds - bounds[0]
 
 
+def slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of a few rows, so that Python holds few copies of texts at once."""
+    for low in range(0, batch.num_rows, rows):
+        yield batch.slice(low, rows)
+
+
 def slabs(column: pa.Array, size: int = SLAB_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, bounds) of runs of whole values of about ``size`` bytes; one longer value is its own run."""
     data, bounds = bytes_of(column)
