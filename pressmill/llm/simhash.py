@@ -21,6 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pressmill.llm.alike import SIMILARITY, similar_links
 from pressmill.llm.components import components
 from pressmill.llm.words import list_of, utf8
 from pressmill.session import materialize
@@ -121,3 +122,16 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = materialize(known.join(least, "component").select("fp", "component_id"), "classes")
     return rows.join(classes, "fp").select(
         F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def copy_groups(rows: DataFrame, row_col: str, text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """(row, group): fingerprint groups joined where texts of two groups are similar in their five-word shingles.
+
+    ``rows`` is written and ``row_col`` unique in it. Fingerprints within the radius find texts that are all but equal; the
+    links of ``alike`` add those that are similar to the given degree."""
+    groups = materialize(near_groups(rows, row_col, text_col).select(F.col(row_col).alias("row"), F.col("component_id").alias("near")), "groups")
+    ends = {c: groups.select(F.col("row").alias(c), F.col("near").alias(f"near_{c}")) for c in "ab"}
+    crossing = similar_links(rows, row_col, text_col, similarity=similarity).join(ends["a"], "a").join(ends["b"], "b").select(
+        F.col("near_a").alias("a"), F.col("near_b").alias("b")).where("a <> b").distinct()
+    joined = materialize(components(crossing), "joined").withColumnRenamed("node", "near")
+    return groups.join(joined, "near", "left").select(F.col("row").alias(row_col), F.coalesce("component", "near").alias("group"))
