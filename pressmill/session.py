@@ -5,6 +5,8 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,9 +71,33 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other run uses."""
-    return f"{shared_root(spark).rstrip('/')}/pressmill/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark).rstrip('/')}/pressmill/{label}-{uuid.uuid4().hex}"
+    for scope in _scopes:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def recorded_scratch() -> Iterator[list[str]]:
+    """Gathers the paths that are given out meanwhile, for ``remove_scratch``."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield paths
+    finally:
+        _scopes[:] = [scope for scope in _scopes if scope is not paths]
+
+
+def remove_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes tables that no frame still in use reads."""
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialize(df: DataFrame, label: str = "cut") -> DataFrame:
