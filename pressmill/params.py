@@ -42,27 +42,8 @@ SECTIONS = [
 ]
 DEFAULT_SECTION = "giants_market"
 
-SECTION_RULES = [
-    ("giants_market", ["openai", "anthropic", "google", "巨頭", "earnings"]),
-    ("dev_tools_agent", ["agent", "tool", "ide", "sdk", "framework", "github"]),
-    ("generative_media", ["image", "video", "audio", "music", "generative"]),
-    ("edu_tech", ["edu", "school", "teacher", "教育", "課程"]),
-    ("infra_open_source", ["weights", "open source", "llama", "deepseek", "kernel"]),
-    ("law_ethics_society", ["regulation", "law", "ethic", "監管", "倫理"]),
-]
-
-PERSPECTIVE_RULES = [
-    ("台灣政策分析", ["taiwan", "台灣", "國科會", "tsmc"]),
-    ("教育科技分析", ["edu", "school", "teacher", "教育", "課程"]),
-    ("金融市場分析", ["stock", "earnings", "ipo", "股", "市值"]),
-    ("AI 生態分析", ["open", "weights", "github", "framework"]),
-]
 DEFAULT_PERSPECTIVE = "媒體設計分析"
 
-TAG_RULES = [
-    ("openai", "openai"), ("anthropic", "anthropic"), ("google", "google"), ("agent", "agents"),
-    ("opensource", "open-source"), ("台灣", "taiwan"), ("edu", "education"),
-]
 DEFAULT_TAG = "ai"
 
 STOPWORDS_EN = [
@@ -118,10 +99,11 @@ class Settings:
     vector_days: int = 14
     sections: list = field(default_factory=lambda: list(SECTIONS))
     default_section: str = DEFAULT_SECTION
-    section_rules: list = field(default_factory=lambda: list(SECTION_RULES))
-    perspective_rules: list = field(default_factory=lambda: list(PERSPECTIVE_RULES))
+    # rules in order, the first match wins: (label, keywords) and (keyword, tag)
+    section_rules: list = field(default_factory=list)
+    perspective_rules: list = field(default_factory=list)
     default_perspective: str = DEFAULT_PERSPECTIVE
-    tag_rules: list = field(default_factory=lambda: list(TAG_RULES))
+    tag_rules: list = field(default_factory=list)
     per_section_min: int = 2
     per_section_max: int = 3
     min_articles: int = 6

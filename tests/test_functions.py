@@ -103,17 +103,17 @@ def test_scores(spark):
 
 
 def test_rules(spark):
-    cfg = Settings()
+    table = [("sea", ["boat", "tide"]), ("land", ["hill", "boathouse"])]
 
     def section(s):
-        return one(spark, s, "string", lambda c: rules.first_match(F.lower(c), cfg.section_rules, cfg.default_section))
-    assert section("New VIDEO tool") == "dev_tools_agent"
-    assert section("a video") == "dev_tools_agent"  # "ide" is found inside "video" first
-    assert section("music") == "generative_media"
-    assert section("none") == "giants_market"
-    assert one(spark, "google agent edu openai anthropic 台灣", "string",
-               lambda c: rules.tags(c, cfg.tag_rules, "ai")) == ["openai", "anthropic", "google", "agents", "taiwan"]
-    assert one(spark, "zzz", "string", lambda c: rules.tags(c, cfg.tag_rules, "ai")) == ["ai"]
+        return one(spark, s, "string", lambda c: rules.first_match(F.lower(c), table, "air"))
+    assert section("A HILL by the tide") == "sea"
+    assert section("the boathouse") == "sea"  # "boat" is found inside it first
+    assert section("hills") == "land"
+    assert section("none") == "air" and Settings().section_rules == []
+    marks = [("a", "x"), ("b", "y"), ("c", "x"), ("d", "z"), ("e", "v"), ("f", "w"), ("g", "u")]
+    assert one(spark, "abcdefg", "string", lambda c: rules.tags(c, marks, "none")) == ["x", "y", "z", "v", "w"]
+    assert one(spark, "zzz", "string", lambda c: rules.tags(c, marks, "none")) == ["none"]
     assert [one(spark, v, "double", rules.band) for v in (0.6, 0.5, -0.2, -0.3)] == ["up", "flat", "flat", "down"]
 
 
