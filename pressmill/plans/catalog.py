@@ -920,6 +920,50 @@ def run_status(spark, sf):
     return RU.current_status(runs).select("run_id", "status", "event_id")
 
 
+_number = "CAST(substr(source, 4) AS INTEGER)"
+_limit_case = f"CASE {_number} % 4 + 1 {_limits} END"
+
+
+@query("source_scan", f"""WITH d AS (SELECT *, {_number} AS k FROM documents WHERE {_number} NOT IN (9, 18)),
+feed AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS p FROM d WHERE k < 10),
+head AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS p FROM d WHERE k >= 10),
+told AS (SELECT * EXCLUDE (p), row_number() OVER (PARTITION BY source ORDER BY doc_id) AS p FROM head
+  WHERE p <= {L.STORY_HEAD} AND doc_id % 5 <> 0 AND doc_id % 2 = 0)
+SELECT source AS source_id, 'https://' || source || '.example.org/' || doc_id AS url, 'Title & ' || doc_id AS title, k % 4 + 1 AS tier,
+  epoch_us(DATE '2024-01-30' - CAST(doc_id % 30 AS INTEGER)) // 1000000 + 37230 AS published_sec
+FROM feed WHERE p <= {_limit_case} AND doc_id % 7 <> 0
+UNION ALL SELECT source, CASE WHEN doc_id % 3 = 0 THEN '{L.STORY_LINK}' || doc_id ELSE 'https://' || source || '.example.org/' || doc_id END,
+  'A model ' || doc_id, k % 4 + 1, 1700000000 + doc_id FROM told WHERE p <= {_limit_case}""")
+def source_scan(spark, sf):
+    """Documents landed as feeds and stories, one folder per source, and scanned again through the registry."""
+    landing = scratch_path(spark, "landing")
+    number = F.substr("source", F.lit(4)).cast("int")
+    docs = table(spark, sf, "documents").select("doc_id", F.col("source").alias("source_id"), number.alias("k"))
+    doc, link = F.col("doc_id"), F.concat(F.lit("https://"), F.col("source_id"), F.lit(".example.org/"), F.col("doc_id"))
+    day = F.date_format(F.date_sub(F.lit("2024-01-30").cast("date"), (doc % 30).cast("int")), "EEE, d MMM yyyy")
+    item = F.concat(F.lit("<item><title>Title &amp; "), doc, F.lit("</title>"),
+                    F.when(doc % 7 != 0, F.concat(F.lit("<link>"), link, F.lit("</link>"))).otherwise(""),
+                    F.lit("<description>x</description><pubDate>"), day, F.lit(" 10:20:30 GMT</pubDate></item>"))
+    story = F.to_json(F.struct(
+        doc.alias("id"), F.when(doc % 5 == 0, "job").otherwise("story").alias("type"),
+        F.concat(F.when(doc % 2 == 0, "A model ").otherwise("misc "), doc).alias("title"),
+        F.when(doc % 3 != 0, link).alias("url"), (doc + 1700000000).alias("time"), doc.alias("rank")))
+    feeds = docs.filter("k < 10").select("source_id", "doc_id", item.alias("value"))
+    frame = feeds.select("source_id").distinct().select("source_id", F.inline(F.array(
+        F.struct(F.lit(-1).cast("long").alias("doc_id"), F.lit("<rss><channel>").alias("value")),
+        F.struct(F.lit(2**62).alias("doc_id"), F.lit("</channel></rss>").alias("value")))))
+    told = docs.filter("k >= 10").select("source_id", "doc_id", story.alias("value"))
+    for kind, rows in (("rss", feeds.unionByName(frame)), ("hn_api", told)):
+        laid = rows.repartition("source_id").sortWithinPartitions("source_id", "doc_id").select("source_id", "value")
+        laid.write.partitionBy("source_id").text(f"{landing}/{kind}")
+    registry = docs.select("source_id", "k").distinct().select(
+        F.col("source_id").alias("id"), F.col("source_id").alias("name"), (F.col("k") % 4 + 1).cast("int").alias("tier"),
+        F.when(F.col("k") == 18, "ftp").when(F.col("k") < 10, "rss").otherwise("hn_api").alias("type"), F.lit("").alias("url"),
+        F.lit(0.8).alias("confidence"), (F.col("k") != 9).alias("enabled"))
+    return L.scanned(spark, landing, registry, CORPUS, as_of()).select(
+        "source_id", "url", "title", "tier", F.unix_seconds("published_at").alias("published_sec"))
+
+
 _failed = ("src3", "src7", "src12")
 
 

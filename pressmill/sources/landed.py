@@ -12,7 +12,7 @@ from ..functions.urls import key_of, legacy_url
 from ..operators.keyed import top_per_key
 from ..params import DEFAULT_CONFIDENCE, DEFAULT_FETCH_LIMIT, RELEVANCE_KEYWORDS, STORY_HEAD, STORY_LINK, Settings
 
-FEED_TYPES = ("rss", "hn_api", "github_trending")
+FEED_TYPES = ("rss", "atom", "hn_api")
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -61,9 +61,12 @@ def as_raw(rows: DataFrame, as_of: Column) -> DataFrame:
 
 
 def _in_order(df: DataFrame) -> DataFrame:
-    """File and position in it; feed files are read whole by one task each."""
+    """Source and position in its file; feed files are read whole by one task each.
+
+    The source is the folder ``source_id=...`` that a file lies in, or else the name of the file."""
+    named = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+?)\.[A-Za-z0-9]+$", 1)
     return df.withColumns({
-        "source_id": F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+?)\.[A-Za-z0-9]+$", 1),
+        "source_id": F.col("source_id").cast("string") if "source_id" in df.columns else named,
         "feed_pos": F.monotonically_increasing_id(),
     })
 
@@ -123,6 +126,24 @@ def routed(sources: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
     return by_type, unknown.withColumn("reject_reason", F.lit("unknown source type"))
 
 
+def scanned(spark: SparkSession, landing: str, sources: DataFrame, cfg: Settings, as_of: Column) -> DataFrame:
+    """Raw items of all enabled sources: each type is scanned by its reader below ``landing``/type, and the rows united.
+
+    A type without landed files gives no rows; sources of other types are listed by ``routed``. ``arrival`` follows the
+    source and the position in its feed, whatever the file sizes are."""
+    by_type, _ = routed(sources)
+    rows = spark.createDataFrame([], "source_id string, feed_pos long, url string, title string, description string, published_at timestamp")
+    for kind, reader in (("rss", rss_feed), ("atom", atom_feed)):
+        if exists(spark, f"{landing}/{kind}"):
+            rows = rows.unionByName(reader(spark, f"{landing}/{kind}").join(
+                by_type[kind].select(F.col("id").alias("source_id")), "source_id", "left_semi"))
+    feeds = by_type["rss"].unionByName(by_type["atom"])
+    items = feed_items(rows, feeds, cfg, as_of)
+    if exists(spark, f"{landing}/hn_api"):
+        items = items.unionByName(story_items(stories(spark, f"{landing}/hn_api"), by_type["hn_api"], cfg, as_of))
+    return numbered(items, ["source_id", "published_at", "url"])
+
+
 def with_cached(live: DataFrame, cache: DataFrame, failed: DataFrame) -> DataFrame:
     """Live rows, and the cached rows of the sources that failed (``failed``: source_id)."""
     return live.unionByName(cache.join(failed.select("source_id"), "source_id", "left_semi"), allowMissingColumns=True)
