@@ -14,10 +14,11 @@ from pressmill.llm.lines import dedup_lines
 from pressmill.llm.packing import packed_documents
 from pressmill.llm.pagetext import extract
 from pressmill.llm.simhash import near_groups
+from pressmill.llm.words import small_batches
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return small_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 BLANK = 32
@@ -29,6 +29,17 @@ ALNUM = _table(lambda c: 48 <= c <= 57 or 97 <= c <= 122 or c >= 128)
 SPACED = _table(lambda c: c != 32 and not 9 <= c <= 13)
 
 
+#: bytes of rows that go to Python, or come from it, at once
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """The session with Arrow batches bounded by bytes and rows, for long texts: a worker holds a few batches at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    return spark
+
+
 def utf8(column: str) -> Column:
     """The bytes of a text column, null as empty: what the functions here read."""
     return F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")
