@@ -52,3 +52,19 @@ def test_links_find_similar_texts_and_no_others(spark, group):
                 root = [low if x == high else x for x in root]
     assert [found.get(i, i) for i in range(len(texts))] == root
     assert alike.similar_links(rows.limit(0), "row").count() == 0
+
+
+def test_whole_sets_decide_across_sizes(spark):
+    rng = random.Random(7)
+    texts, linked = [], []
+    for n, m in [(1020, 1030), (2047, 2048), (4095, 4096), (1000, 1200), (9000, 10000)]:  # shingles of a text and of a longer copy
+        texts.append([f"w{rng.randrange(9000)}" for _ in range(m + 4)])
+        texts.append(texts[-1][: n + 4])
+        linked.append(True)
+    for keep in [2390, 2410] * 8:  # of 3,000: 0.797 and 0.803
+        texts.append([f"w{rng.randrange(10**6)}" for _ in range(3004)])
+        texts.append(texts[-1][: keep + 4])
+        linked.append(keep == 2410)
+    rows = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "row long, text string").repartition(3)
+    edges = {tuple(sorted((r.a, r.b))) for r in alike.similar_links(rows, "row").collect()}
+    assert edges == {(2 * k, 2 * k + 1) for k, good in enumerate(linked) if good}
