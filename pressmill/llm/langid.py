@@ -2,11 +2,11 @@
 
 Each language is a distribution over hashed byte trigrams of letters, counted over all labelled rows. A document is a
 mixture: expectation-maximisation estimates the share of each language from its trigrams. Languages are then taken in
-order of their share; sets of growing size are fitted again and the set of the best penalised likelihood is selected.
-The largest share in it names the language.
+order of their share; sets of growing size are fitted again until the penalised likelihood falls, and the best set is
+selected. The largest share in it names the language.
 
-Trigrams whose likelihood ratios over the languages agree (rounded) are one class, so that a document is a short row of
-class counts and a batch is fitted by a few matrix products.
+A model holds the likelihood ratio of each trigram in each language, so it grows with the languages; a document is the
+list of its distinct trigrams with their counts, and a batch is fitted in blocks of whole documents.
 
 Defined results: a text that is null or has no letter gives ``und`` with score 0; without labelled rows every text is
 ``und``; a null id is neither held out nor learned from; repeated rows each get a row; without rows there are none.
@@ -25,12 +25,12 @@ from pressmill.llm import words as W
 
 UNKNOWN = "und"
 FEATURES = 1 << 15
-#: classes of trigrams of like likelihood ratios, and languages that a model holds: both bound its size
-CLASSES = 512
-MAX_LANGUAGES = 256
 SMOOTHING = 0.5
-LARGEST_SET = 3
+#: sets up to this size are tried in any case, larger ones while the penalised likelihood grows
+TRIED_SET = 3
 ROUNDS = 12
+#: likelihood ratios held at once
+BLOCK = 1 << 20
 #: weight of the penalty; above 1 because overlapping trigrams repeat their evidence
 PENALTY = 3.0
 
@@ -77,62 +77,115 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["lang", "gram", "n"])
 
 
+class Counts:
+    """Distinct trigrams of documents, in order of the document, with their counts."""
+
+    def __init__(self, doc: np.ndarray, gram: np.ndarray, n: np.ndarray, docs: int):
+        self.doc, self.gram, self.n, self.docs = doc, gram, n.astype(np.float32), docs
+        self.first = np.searchsorted(doc, np.arange(docs + 1))
+        self.total = np.bincount(doc, n, minlength=docs)
+
+    @classmethod
+    def of(cls, gram: np.ndarray, doc: np.ndarray, docs: int) -> Counts:
+        key, n = np.unique(doc * FEATURES + gram, return_counts=True)
+        return cls(key // FEATURES, key % FEATURES, n, docs)
+
+    @classmethod
+    def dense(cls, table: np.ndarray) -> Counts:
+        doc, gram = np.nonzero(table)
+        return cls(doc, gram, table[doc, gram], len(table))
+
+    def some(self, picked: np.ndarray) -> Counts:
+        """Of the documents marked."""
+        own = picked[self.doc]
+        return Counts((np.cumsum(picked) - 1)[self.doc[own]], self.gram[own], self.n[own], int(picked.sum()))
+
+    def blocks(self, size: int) -> Iterator[tuple[int, int, Counts]]:
+        """(first document, end, their counts) of runs of about ``size`` trigrams; one longer document is its own run."""
+        low = 0
+        while low < self.docs:
+            high = max(low + 1, int(np.searchsorted(self.first, self.first[low] + size, "right")) - 1)
+            a, b = self.first[low], self.first[high]
+            yield low, high, Counts(self.doc[a:b] - low, self.gram[a:b], self.n[a:b], high - low)
+            low = high
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """Per document, along the last axis."""
+        out = np.zeros((*values.shape[:-1], self.docs))
+        there = np.flatnonzero(np.diff(self.first))
+        if len(there):
+            out[..., there] = np.add.reduceat(values, self.first[there], axis=-1)
+        return out
+
+
 class Model:
-    """Languages, the class of each trigram and the likelihood ratio of each class in each language."""
+    """Languages, the likelihood ratio of each trigram in each language to the mean of all, and that of the mean to chance."""
 
     def __init__(self, langs: list[str], counts: np.ndarray):
         self.langs = langs
         p = (counts + SMOOTHING) / (counts.sum(axis=1, keepdims=True) + SMOOTHING * counts.shape[1])
-        ratio = np.log(p / p.mean(axis=0))
-        step = 0.1
-        while True:
-            rounded, self.class_of = np.unique(np.round(ratio / step).astype(np.int32), axis=1, return_inverse=True)
-            if rounded.shape[1] <= CLASSES:
-                break
-            step *= 1.3
-        self.class_of = self.class_of.ravel()
-        self.ratio = np.exp(rounded * step).T.astype(np.float32)
-
-    def fit(self, counts: np.ndarray, allowed: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-        """(shares, log-likelihood) of the rows of ``counts`` over the languages allowed for each."""
+        mean = p.mean(axis=0)
+        self.ratio = (p / mean).T.astype(np.float32)
+        self.usual = np.log(mean * counts.shape[1])
+
+    def fit(self, counts: Counts | np.ndarray, allowed: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+        """(shares, log-likelihood) of the documents over the languages allowed for each."""
+        if not isinstance(counts, Counts):
+            counts = Counts.dense(counts)
+        ratio, size = self.ratio.T[:, counts.gram], np.diff(counts.first)
         share = allowed / allowed.sum(axis=1, keepdims=True)
-        n = np.maximum(counts.sum(axis=1, keepdims=True), 1)
+
+        def likelihood():
+            return np.maximum((np.repeat(share.T.astype(np.float32), size, axis=1) * ratio).sum(axis=0), 1e-30)
+
         for _ in range(rounds):
-            share = share * ((counts / np.maximum(share @ self.ratio.T, 1e-30)) @ self.ratio) / n
-        return share, (counts * np.log(np.maximum(share @ self.ratio.T, 1e-30))).sum(axis=1)
+            share = share * counts.sums(counts.n / likelihood() * ratio).T
+            share /= np.maximum(share.sum(axis=1, keepdims=True), 1e-30)
+        return share, counts.sums(counts.n * np.log(likelihood().astype(float)))
 
-    def predict(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(language number, its share) for rows of class counts."""
-        n = counts.sum(axis=1)
-        full, _ = self.fit(counts, np.ones((len(counts), len(self.langs)), np.float32), ROUNDS)
+    def _predict(self, counts: Counts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        penalty = PENALTY * 0.5 * np.log(np.maximum(counts.total, 2))
+        full, _ = self.fit(counts, np.ones((counts.docs, len(self.langs))), ROUNDS)
         rank = np.argsort(np.argsort(-full, axis=1, kind="stable"), axis=1)
-        single = counts @ np.log(self.ratio)
+        single = counts.sums(counts.n * np.log(self.ratio.T[:, counts.gram])).T
         best = np.zeros_like(full)
         best[np.arange(len(full)), single.argmax(axis=1)] = 1
-        top = single.max(axis=1) - PENALTY * 0.5 * np.log(np.maximum(n, 2))
-        for size in range(2, min(LARGEST_SET, len(self.langs)) + 1):
-            share, fit = self.fit(counts, (rank < size).astype(np.float32), ROUNDS // 2)
-            fit -= PENALTY * 0.5 * size * np.log(np.maximum(n, 2))
-            better = fit > top
-            best[better], top[better] = share[better], fit[better]
+        fitted = single.max(axis=1)
+        top = fitted - penalty
+        grows = np.ones(counts.docs, bool)
+        for size in range(2, len(self.langs) + 1):
+            at = np.flatnonzero(grows)
+            if not len(at):
+                break
+            share, fit = self.fit(counts.some(grows), (rank[at] < size).astype(float), ROUNDS // 2)
+            less = fit - size * penalty[at]
+            better = less > top[at]
+            best[at[better]], top[at[better]], fitted[at[better]] = share[better], less[better], fit[better]
+            if size >= TRIED_SET:
+                grows[at[~better]] = False
         best /= best.sum(axis=1, keepdims=True)
-        return best.argmax(axis=1), best.max(axis=1)
+        return best.argmax(axis=1), best.max(axis=1), (fitted + counts.sums(counts.n * self.usual[counts.gram])) / np.maximum(counts.total, 1)
+
+    def predict(self, counts: Counts | np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(language number, its share, log-likelihood ratio to chance of a trigram) of documents."""
+        if not isinstance(counts, Counts):
+            counts = Counts.dense(counts)
+        found = [self._predict(block) for _, _, block in counts.blocks(BLOCK // len(self.langs))]
+        return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int), np.zeros(0), np.zeros(0))
 
 
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model | None:
     """A model of all rows of ``docs`` that have a language."""
     read = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), W.utf8(text_col).alias("body"))
     counts = read.mapInArrow(_count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    wide = counts.groupBy("lang").agg(F.sum("n").alias("total"), F.collect_list(F.struct("gram", "n")).alias("grams"))
-    rows = wide.orderBy(F.desc("total"), "lang").limit(MAX_LANGUAGES).collect()  # at most so many rows of FEATURES counts
-    if not rows:
-        return None
-    rows.sort(key=lambda r: r.lang)
-    table = np.zeros((len(rows), FEATURES))
-    for k, row in enumerate(rows):
+    wide = counts.groupBy("lang").agg(F.collect_list(F.struct("gram", "n")).alias("grams"))
+    rows = {}
+    for row in wide.toLocalIterator():  # FEATURES counts at most for each language
+        rows[row.lang] = np.zeros(FEATURES)
         for gram, n in row.grams:
-            table[k, gram] = n
-    return Model([r.lang for r in rows], table)
+            rows[row.lang][gram] = n
+    langs = sorted(rows)
+    return Model(langs, np.stack([rows[x] for x in langs])) if langs else None
 
 
 def _has_letter(body: bytes) -> bool:
@@ -144,28 +197,32 @@ def _predict(held):
         model = held.value
         for batch in batches:
             for low, high, data, bounds in W.slabs(batch.column(1)):
-                names, scores = [UNKNOWN] * (high - low), np.zeros(high - low)
+                names, scores, sense = [UNKNOWN] * (high - low), np.zeros(high - low), np.zeros(high - low)
                 if model is not None:
                     gram, doc = trigrams(data, bounds)
-                    n = len(model.ratio)
-                    counts = np.bincount(doc * n + model.class_of[gram], minlength=(high - low) * n).reshape(high - low, n).astype(np.float32)
-                    best, share = model.predict(counts)
+                    best, share, sense = model.predict(Counts.of(gram, doc, high - low))
                     ascii_letters = np.zeros(len(data) + 1, np.int64)
                     np.cumsum((_LETTERS[data] != W.BLANK) & (data < 128), out=ascii_letters[1:])
                     plain = ascii_letters[bounds[1:]] > ascii_letters[bounds[:-1]]
                     for k in range(high - low):
                         if plain[k] or _has_letter(data[bounds[k]:bounds[k + 1]].tobytes()):
                             names[k], scores[k] = model.langs[best[k]], min(1.0, float(share[k]))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), pa.array(names, pa.string()), pa.array(scores)],
-                                                 ["id", "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), pa.array(names, pa.string()), pa.array(scores),
+                                                  pa.array(sense)], ["id", "lang_pred", "score", "sense"])
     return run
 
 
-def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, lang_pred, score) of every row."""
+def judged(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, lang_pred, score, sense) of every row. ``sense`` is the mean log-likelihood ratio of a trigram in the selected
+    languages to one drawn by chance: a text below 0 is likelier to be gibberish than to be of any of them."""
     held = docs.sparkSession.sparkContext.broadcast(model)
     return docs.select(F.col(id_col).alias("id"), W.utf8(text_col).alias("body")).mapInArrow(
-        _predict(held), f"id {docs.schema[id_col].dataType.simpleString()}, lang_pred string, score double").withColumnRenamed("id", id_col)
+        _predict(held), f"id {docs.schema[id_col].dataType.simpleString()}, lang_pred string, score double, sense double").withColumnRenamed("id", id_col)
+
+
+def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, lang_pred, score) of every row."""
+    return judged(docs, model, id_col, text_col).drop("sense")
 
 
 def classified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", key_col: str | None = None) -> DataFrame:

@@ -295,3 +295,22 @@ def test_extract_on_odd_rows(spark):
     got = sorted((r.page_id or 0, r.url or "", r.text, r.n_chars) for r in pagetext.extract(pages).collect())
     assert got == [(0, "v", "x", 1), (0, "v", "x", 1), (1, "u", "", 0), (2, "", "", 0)]
     assert pagetext.extract(pages.limit(0)).count() == 0
+
+
+def test_many_languages_keep_their_evidence(spark):
+    import numpy as np
+    rng = np.random.default_rng(5)
+    shared = rng.choice(langid.FEATURES, 3000, replace=False)
+    chance = rng.dirichlet(np.ones(3000)) * np.exp(rng.normal(0, 0.4, (20, 3000)))  # sisters differ in frequencies only
+    chance /= chance.sum(axis=1, keepdims=True)
+    counts = np.zeros((20, langid.FEATURES))
+    counts[:, shared] = [rng.multinomial(200_000, p) for p in chance]
+    model = langid.Model([f"l{k:02}" for k in range(20)], counts)
+    table = np.zeros((60, langid.FEATURES), np.float32)
+    table[:, shared] = [rng.multinomial(600, chance[k % 20]) for k in range(60)]
+    assert (model.predict(table)[0] == np.arange(60) % 20).all()
+    mixed = np.zeros((1, langid.FEATURES), np.float32)
+    mixed[0, shared] = sum(rng.multinomial(6000, chance[k]) for k in range(5))
+    assert model.predict(mixed)[1][0] < 0.3  # more than three languages in one text
+    docs = spark.createDataFrame([(f"l{k}", f"word{chr(97 + k % 26)}{chr(97 + k // 26)}") for k in range(300)], "lang string, text string")
+    assert len(langid.learn(docs).langs) == 300
