@@ -1,4 +1,5 @@
 """The pipeline's stages against brute force on the smallest tables."""
+import random
 import re
 
 import pytest
@@ -121,3 +122,24 @@ def test_stages_on_no_rows(spark, outputs):
 
 def test_threshold_keeps_mixtures_of_two():
     assert corpus_pipeline.LEAST_SHARE < 0.5 and langid.UNKNOWN == "und"
+
+
+def test_language_rejects_gibberish_and_mixtures_of_many(spark, tmp_path):
+    rng = random.Random(2)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = docs.where("lang is not null and n_chars > 200").orderBy("doc_id").collect()
+    by_lang = {}
+    for r in rows:
+        by_lang.setdefault(r.lang, []).append(r.text)
+    langs = sorted(by_lang)
+    assert len(langs) == 4
+    planted = [("".join(rng.choice("abcdefghijklmnopqrstuvwxyz     ") for _ in range(n)), False) for n in (200, 1000, 5000)]
+    planted.append((" ".join(" ".join(by_lang[x])[:3000] for x in langs), False))
+    planted.append((" ".join(" ".join(by_lang[x])[:3000] for x in langs[:2]), True))
+    planted += [(by_lang[x][0], True) for x in langs]
+    extra = spark.createDataFrame([(-1 - k, t, None, "planted", len(t)) for k, (t, _) in enumerate(planted)], docs.schema)
+    docs.unionByName(extra).write.parquet(str(tmp_path / "docs"))
+    kept = corpus_pipeline.language(spark, spark.read.parquet(str(tmp_path / "docs")), SMALL)
+    found = {r.doc_id for r in kept.collect()}
+    assert [-1 - k in found for k in range(len(planted))] == [good for _, good in planted]
+    assert {r.doc_id for r in rows} <= found
