@@ -6,8 +6,8 @@ The network predicts the class from the classes around; the corpus counts give t
 
     p(word | both sides) = softmax(output . tanh(sum of the neighbours' vectors))[class] * count(word) / count(class)
 
-Counts cover every word of the corpus. Training covers every document: each partition trains on each ``STRIDE``-th word,
-starting from the same weights, and weights are averaged by the number of words, for ``EPOCHS`` rounds. A document's
+Counts and training cover every word of the corpus: each partition trains on all words of its documents, starting from the
+same weights, and weights are averaged by the number of words, for ``EPOCHS`` rounds. A document's
 score is the sum of the conditional log-probabilities of all its words, and their mean.
 
 Defined results: a text that is null or without words has 0 tokens, sum 0 and a null mean; words beyond the ends of a
@@ -32,13 +32,13 @@ SPELLINGS = 4096
 BUCKETS = ENDINGS * SPELLINGS
 BOUNDARY = CLASSES - 1
 FREQUENT = CLASSES - 1 - ENDINGS
-STRIDE = 24
 EPOCHS = 2
 BATCH = 512
 RATE = 0.15
 LIMIT = 1.5
 SMOOTHING = 0.5
 STEP = 4096
+PLACES = np.arange(2 * SIDE)[:, None] * CLASSES
 SHAPES = ((2 * SIDE, CLASSES, HIDDEN), (CLASSES, HIDDEN), (CLASSES,))
 
 
@@ -89,7 +89,10 @@ def neighbours(own: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def hidden(weights: list[np.ndarray], context: np.ndarray) -> np.ndarray:
-    return np.tanh(sum(weights[0][j][context[j]] for j in range(2 * SIDE)))
+    total = weights[0][0].take(context[0], axis=0)
+    for j in range(1, 2 * SIDE):
+        total += weights[0][j].take(context[j], axis=0)
+    return np.tanh(total)
 
 
 def train(weights: list[np.ndarray], own: np.ndarray, context: np.ndarray, squares: list[np.ndarray]) -> None:
@@ -102,9 +105,8 @@ def train(weights: list[np.ndarray], own: np.ndarray, context: np.ndarray, squar
         p[np.arange(len(target)), target] -= 1
         p /= len(target)
         back = (p @ weights[1]) * (1 - h * h)
-        around = np.zeros_like(weights[0])
-        for j in range(2 * SIDE):
-            np.add.at(around[j], near[j], back)
+        place, slopes = (near + PLACES).ravel(), np.tile(back.T.astype(float), 2 * SIDE)
+        around = np.stack([np.bincount(place, x, 2 * SIDE * CLASSES) for x in slopes], axis=1).reshape(weights[0].shape).astype(np.float32)
         for w, square, slope in zip(weights, squares, (around, p.T @ h, p.sum(axis=0))):
             square += slope * slope
             w -= RATE * slope / np.sqrt(square + 1e-8)
@@ -131,12 +133,8 @@ def _train(held):
             for _, _, data, bounds in W.slabs(batch.column(0)):
                 bucket, first = buckets(data, bounds)
                 own = classes.of[bucket]
-                # each STRIDE-th word of each text, from a place that depends on its first word
-                inner = np.arange(len(own)) - np.repeat(first[:-1], np.diff(first))
-                begin = np.repeat(bucket[np.minimum(first[:-1], max(len(own) - 1, 0))] if len(own) else first[:-1], np.diff(first))
-                some = np.flatnonzero((inner + begin) % STRIDE == 0)
-                train(weights, own[some], neighbours(own, first)[:, some], squares)
-                seen += len(some)
+                train(weights, own, neighbours(own, first), squares)
+                seen += len(own)
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([_flat(weights).tolist()], pa.list_(pa.float64()))], ["n", "weights"])
     return run

@@ -314,3 +314,31 @@ def test_many_languages_keep_their_evidence(spark):
     assert model.predict(mixed)[1][0] < 0.3  # more than three languages in one text
     docs = spark.createDataFrame([(f"l{k}", f"word{chr(97 + k % 26)}{chr(97 + k // 26)}") for k in range(300)], "lang string, text string")
     assert len(langid.learn(docs).langs) == 300
+
+
+def test_pseudo_likelihood_trains_on_every_word(spark, monkeypatch):
+    import numpy as np
+    class Held:
+        value = None
+
+    monkeypatch.setattr(pseudolikelihood, "EPOCHS", 1)
+    classes = pseudolikelihood.Classes(np.ones(pseudolikelihood.BUCKETS))
+    Held.value = classes, pseudolikelihood.start(classes)
+    import pyarrow as pa
+    texts = ["one", "two words", "a few words more", "", "word " * 100]
+    batch = pa.RecordBatch.from_arrays([pa.array([t.encode() for t in texts], pa.binary())], ["body"])
+    out = list(pseudolikelihood._train(Held)(iter([batch])))
+    assert out[0].column(0).to_pylist() == [1 + 2 + 4 + 100]
+    rng = np.random.default_rng(1)  # slopes of the vectors around, added up one by one
+    own, near = rng.integers(0, 128, 300), rng.integers(0, 128, (6, 300))
+    given = pseudolikelihood.start(classes)
+    weights, squares = [w.copy() for w in given], [np.full(w.shape, 1e-3, np.float32) for w in given]
+    pseudolikelihood.train(weights, own, near, squares)
+    h = pseudolikelihood.hidden(given, near)
+    p = np.exp(h @ given[1].T + given[2])
+    p /= p.sum(axis=1, keepdims=True)
+    p[np.arange(300), own] -= 1
+    slope = np.zeros_like(given[0])
+    for j in range(6):
+        np.add.at(slope[j], near[j], (p / 300 @ given[1]) * (1 - h * h))
+    assert np.allclose(squares[0], 1e-3 + slope**2, atol=1e-6)
