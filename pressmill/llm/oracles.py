@@ -102,3 +102,15 @@ FROM d LEFT JOIN base USING (r) LEFT JOIN good USING (r)"""
 
 
 ORACLES |= {"op7_secrets": _secrets(), "op8_licenses": _licenses()}
+
+ORACLES["op13_hard_negatives"] = """
+WITH t AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (SELECT a.r AS anchor, a.vec_id AS anchor_id, a.label = b.label AS same, b.r AS r, b.vec_id AS id, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM t a JOIN t b ON a.r <> b.r WHERE a.vec_id % 50 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id, r) <= 5),
+n AS (SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+  row_number() OVER (PARTITION BY p.anchor, p.r ORDER BY s.score DESC, s.id, s.r) AS rank
+  FROM p JOIN s USING (anchor) WHERE NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3"""

@@ -11,9 +11,11 @@ from pressmill.llm.exact import exact_groups
 from pressmill.llm.langid import classified
 from pressmill.llm.licenses import PHRASE_SCORE, license_labels
 from pressmill.llm.lines import dedup_lines
+from pressmill.llm.negatives import hard_negatives
 from pressmill.llm.packing import packed_documents
 from pressmill.llm.pagetext import extract
 from pressmill.llm.simhash import near_groups
+from pressmill.llm.whitening import whitened
 from pressmill.llm.words import small_batches
 
 
@@ -84,6 +86,16 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.select("vec_id", "embedding", moved.alias("label")), F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_simhash": op2_simhash,
@@ -95,4 +107,6 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_main_text": op9_main_text,
     "op10_line_dedup": op10_line_dedup,
+    "op11_whitening": op11_whitening,
+    "op13_hard_negatives": op13_hard_negatives,
 }
