@@ -15,6 +15,7 @@ from pressmill.llm.negatives import hard_negatives
 from pressmill.llm.packing import packed_documents
 from pressmill.llm.pagetext import extract
 from pressmill.llm.simhash import near_groups
+from pressmill.llm.sketch import edited_fingerprints
 from pressmill.llm.whitening import whitened
 from pressmill.llm.words import small_batches
 
@@ -90,6 +91,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened(table(spark, sf_dir, "embeddings"))
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -108,5 +113,6 @@ QUERIES = {
     "op9_main_text": op9_main_text,
     "op10_line_dedup": op10_line_dedup,
     "op11_whitening": op11_whitening,
+    "op12_fingerprints": op12_fingerprints,
     "op13_hard_negatives": op13_hard_negatives,
 }
