@@ -19,8 +19,3 @@ def cosine(u: Column, v: Column, norm_u: Column | None = None, norm_v: Column |
     nv = norm(v) if norm_v is None else norm_v
     fits = (F.size(u) == F.size(v)) & (nu > 0) & (nv > 0)
     return F.when(fits, dot(u, v) / (nu * nv)).otherwise(F.lit(0.0))
-
-
-def running_mean(mean: Column, v: Column, n: Column) -> Column:
-    """Mean of n vectors from the mean of the first n-1 and the n-th."""
-    return F.zip_with(mean, v, lambda m, x: (m * (n - 1) + x) / n)

@@ -1,4 +1,6 @@
-"""Story clusters: leaders by greedy selection, members by their earliest leader."""
+"""Story clusters: leaders by greedy selection, members by their earliest leader; what is told of a cluster.
+
+``moving.py`` has the clusters whose means move."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
@@ -24,6 +26,14 @@ def clustered(rows: DataFrame, threshold: float, vector: str = "embedding", arri
     return usable.join(led.withColumnRenamed("arrival", arrival), arrival)
 
 
+def cluster_means(members: DataFrame, vector: str = "embedding") -> DataFrame:
+    """(leader, n, mean): the mean vector of each cluster, dimension by dimension."""
+    entries = members.select("leader", F.posexplode(vector).alias("dim", "x")).groupBy("leader", "dim").agg(
+        F.avg("x").alias("x"), F.count(F.lit(1)).alias("n"))
+    return entries.groupBy("leader").agg(  # one entry per dimension
+        F.max("n").alias("n"), F.transform(F.array_sort(F.collect_list(F.struct("dim", "x"))), lambda e: e["x"]).alias("mean"))
+
+
 def cluster_spans(members: DataFrame, ts: str, cfg: Settings) -> DataFrame:
     """Largest clusters with size, first and last date."""
     return (
