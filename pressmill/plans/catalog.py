@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,8 @@ from ..operators import budget as B
 from ..operators import cluster as CL
 from ..operators import edition as ED
 from ..operators import keyed as K
+from ..operators import moving as MV
+from ..operators import posting as PO
 from ..operators import runs as RU
 from ..operators import search as SE
 from ..operators import trends as TR
@@ -32,6 +35,7 @@ from ..session import scratch_path
 from ..sources import landed as L
 from ..sources import state as ST
 from ..sources import tables as T
+from ..streaming import ever as EV
 from ..streaming import jobs as J
 from .corpus import (ARTICLES_SQL, AS_OF_TEXT, CORPUS, LEDGER_SQL, OCCURRENCES_SQL, articles, as_of, ledger,
                      occurrences, squeeze_sql, table, vectors)
@@ -518,6 +522,31 @@ def search_text(spark, sf):
         F.col("date").cast("string").alias("date"), "section", "url_hash", "permalink")
 
 
+_SEARCHED = ["thin", "e t", "th", "Q", "thanedble and", "no such text", "  "]
+_each = " UNION ALL ".join(f"""SELECT * FROM (SELECT {lit(q)} AS query, CAST(date AS VARCHAR) AS date, section, url_hash, permalink FROM flat
+  WHERE trim({lit(q)}) <> '' AND contains({_hay}, lower(trim({lit(q)}))) {_newest} LIMIT 30)""" for q in _SEARCHED)
+
+
+@query("search_index", f"{FLAT_SQL} {_each}")
+def search_index(spark, sf):
+    """Searches by trigram index: long, short and common queries, and some without a hit."""
+    path = scratch_path(spark, "postings")
+    PO.write_postings(ED.flattened(_editions(spark, sf), CORPUS), path)
+    found = [PO.search_postings(spark, path, q).select(F.lit(q).alias("query"), F.col("date").cast("string").alias("date"),
+                                                        "section", "url_hash", "permalink") for q in _SEARCHED]
+    return reduce(DataFrame.unionByName, found)
+
+
+@query("search_documents", f"""WITH {ARTICLES_SQL}
+SELECT arrival, url_hash FROM art WHERE contains(lower(title || ' ' || summary || ' ' || insight || '  '), 'ndha re')""")
+def search_documents(spark, sf):
+    """The index over every article instead of those of editions; all hits."""
+    path = scratch_path(spark, "postings")
+    rows = articles(spark, sf).withColumns({"tags": F.array().cast("array<string>"), "section_label": F.lit(None).cast("string")})
+    PO.write_postings(rows.select("date", "arrival", "title", "summary", "insight", "tags", "section_label", "url_hash"), path)
+    return PO.search_postings(spark, path, "ndha re", limit=2**31 - 1).select("arrival", "url_hash")
+
+
 @query("facet_filter", f"""{FLAT_SQL}
 SELECT CAST(date AS VARCHAR) AS date, section, url_hash FROM flat
 WHERE list_contains(tags, 't-ing') AND section_label = {lit(CORPUS.sections[0][2])} {_newest} LIMIT 80""")
@@ -800,6 +829,57 @@ def cluster_timeline(spark, sf):
     return CL.timeline(members, spans, "fetched_at").select("leader", "line_no", "line")
 
 
+_fetched_sql = f"TIMESTAMP '{AS_OF_TEXT}' - to_days(CAST(id % 30 AS INTEGER)) - to_hours(CAST(id % 24 AS INTEGER))"
+_mean_sql = "list_transform(list_zip(c.mean, v), lambda z: (z[1] * c.n + z[2]) / (c.n + 1))"
+MOVING_SQL = f"""WITH RECURSIVE e AS MATERIALIZED (
+  SELECT vec_id AS id, embedding::DOUBLE[] AS v, row_number() OVER (ORDER BY vec_id DESC) AS rn FROM embeddings),
+steps(rn, id, leader, clusters) AS (
+  SELECT 0::BIGINT, NULL::BIGINT, NULL::BIGINT, []::STRUCT(leader BIGINT, n BIGINT, mean DOUBLE[])[]
+  UNION ALL
+  SELECT rn, id, CASE WHEN hit > 0 THEN clusters[hit].leader ELSE id END, CASE WHEN hit > 0
+    THEN list_concat(clusters[:hit - 1], list_transform(clusters[hit:hit], lambda c: {{'leader': c.leader, 'n': c.n + 1, 'mean': {_mean_sql}}}), clusters[hit + 1:])
+    ELSE list_append(clusters, {{'leader': id, 'n': 1::BIGINT, 'mean': v}}) END
+  FROM (SELECT e.rn, e.id, e.v, s.clusters, coalesce(list_position(
+    list_transform(s.clusters, lambda c: list_cosine_similarity(c.mean, e.v) >= {CORPUS.cluster_threshold}e0), true), 0) AS hit
+    FROM steps s JOIN e ON e.rn = s.rn + 1)),
+members AS MATERIALIZED (SELECT id, leader FROM steps WHERE rn > 0)"""
+
+
+@query("moving_clusters", f"{MOVING_SQL} SELECT id AS vec_id, leader FROM members")
+def moving_clusters(spark, sf):
+    """Every row with its cluster; the newest row comes first, means move while rows come in."""
+    return MV.moving_clusters(_newest_first(spark, sf), CORPUS.cluster_threshold).select("vec_id", (-F.col("leader")).alias("leader"))
+
+
+@query("moving_clusters_blocks", ORACLES["moving_clusters"])
+def moving_clusters_blocks(spark, sf):
+    """The same with limits so low that there are many blocks, tasks, cuts and rewritten means."""
+    rows = _newest_first(spark, sf)
+    block = max(60, rows.count() // 12)
+    return MV.moving_clusters(rows, CORPUS.cluster_threshold, block=block, matches=3, task_means=40, moved=block).select(
+        "vec_id", (-F.col("leader")).alias("leader"))
+
+
+def _newest_first(spark, sf):
+    return vectors(spark, sf).select(F.col("arrival").alias("vec_id"), (-F.col("arrival")).alias("arrival"), "embedding", "fetched_at", "title")
+
+
+@query("narrative_spans", f"""{MOVING_SQL},
+spans AS (SELECT leader, count(*) AS n, min({_fetched_sql}) AS started, max({_fetched_sql}) AS ended
+  FROM members GROUP BY leader HAVING count(*) >= {CORPUS.cluster_min} ORDER BY n DESC, leader DESC LIMIT {CORPUS.cluster_top}),
+entries AS (SELECT m.leader, unnest(range(1, 65)) AS dim, unnest(e.v) AS x FROM members m JOIN e USING (id) JOIN spans USING (leader)),
+means AS (SELECT leader, dim, avg(x) AS x FROM entries GROUP BY ALL)
+SELECT -spans.leader AS leader, n, epoch_us(started) // 1000000 AS started_sec, epoch_us(ended) // 1000000 AS ended_sec,
+  round(sqrt(sum(x * x)), 6) AS mean_length FROM spans JOIN means USING (leader) GROUP BY ALL""")
+def narrative_spans(spark, sf):
+    """The largest clusters with moving means: size, span, and the length of the mean (short where members differ)."""
+    members = MV.moving_clusters(_newest_first(spark, sf), CORPUS.cluster_threshold)
+    spans = CL.cluster_spans(members, "fetched_at", CORPUS)
+    means = CL.cluster_means(members.join(F.broadcast(spans.select("leader")), "leader", "left_semi"))  # a few leaders
+    return spans.join(means.select("leader", F.round(V.norm(F.col("mean")), 6).alias("mean_length")), "leader").select(
+        "leader", "n", F.unix_seconds("started_at").alias("started_sec"), F.unix_seconds("ended_at").alias("ended_sec"), "mean_length")
+
+
 @query("title_dedup_keep_first")
 def title_dedup_keep_first(spark, sf):
     rows = articles(spark, sf).select("arrival", "title")
@@ -1072,6 +1152,56 @@ def stream_trend(spark, sf):
     return TR.trailing_counts(daily, 7).select(F.col("date").cast("string").alias("date"), "keyword", "occurrences")
 
 
+_LANDING = "CASE WHEN event_id % 20 = 0 THEN 2 WHEN ts < TIMESTAMP '2024-01-16 00:00:00' THEN 0 ELSE 1 END"
+LANDED_SQL = f"{OCCURRENCES_SQL}, landed AS (SELECT *, {_LANDING} AS batch FROM occ)"
+
+
+def _landings(spark, sf, label, run):
+    """Occurrences that land in three batches, the last one out of order; ``run`` follows each landing from its checkpoint."""
+    base = scratch_path(spark, label)
+    rows = occurrences(spark, sf).withColumn("batch", F.expr(_LANDING))
+    last = None
+    for batch in range(3):
+        rows.where(F.col("batch") == batch).write.mode("append").parquet(f"{base}/in")
+        stream = J.file_stream(spark, f"{base}/in", rows.schema)
+        last = run(stream, f"{base}/out", f"{base}/state")
+        last.awaitTermination()
+    return f"{base}/out", last
+
+
+@query("stream_first_ever", f"""WITH {LANDED_SQL}
+SELECT event_id, user_id, event_type FROM landed WHERE user_id % 10 <> 0
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY batch, ts, event_id) = 1""")
+def stream_first_ever(spark, sf):
+    """Dedup without a horizon, weeks apart and over restarts; keys of every tenth user are stored already."""
+    keys = ["user_id", "event_type"]
+    stored = occurrences(spark, sf).where(F.col("user_id") % 10 == 0).select(*keys)
+    log, _ = _landings(spark, sf, "first-ever", lambda stream, out, state: EV.first_ever(
+        stream, out, keys, [F.col("ts"), F.col("event_id")], state, stored, buckets=8))
+    return spark.read.parquet(log).select("event_id", *keys)
+
+
+@query("stream_sliding", f"""WITH {LANDED_SQL},
+seen AS (SELECT k AS batch, (SELECT max(ts) FROM landed WHERE batch < k) - INTERVAL 2 DAY AS mark FROM range(3) r(k)),
+entries AS (SELECT term AS keyword, batch, date_trunc('day', ts) - to_days(CAST(i AS INTEGER)) AS start FROM landed, range(7) r(i)),
+timely AS (SELECT e.*, coalesce(e.start + INTERVAL 7 DAY > mark, true) AS counts FROM entries e JOIN seen USING (batch))
+SELECT CAST(CAST(start AS DATE) AS VARCHAR) AS window_start, keyword, count(*) AS occurrences,
+  (SELECT bool_or(NOT counts) FROM timely) AS some_late
+FROM timely WHERE counts AND start + INTERVAL 7 DAY <= (SELECT max(ts) - INTERVAL 2 DAY FROM landed) GROUP BY start, keyword""")
+def stream_sliding(spark, sf):
+    """Sliding weeks in event time, final once the watermark passed; stragglers behind it are dropped and noted."""
+    late = J.LateRows()
+    spark.streams.addListener(late)
+    try:
+        out, last = _landings(spark, sf, "sliding", lambda stream, path, state: J.append_to(
+            J.sliding_term_counts(stream, "ts", "term", 7, "2 days"), path, state))
+        dropped = late.of(last)
+    finally:
+        spark.streams.removeListener(late)
+    return spark.read.parquet(out).select(
+        F.col("window_start").cast("string").alias("window_start"), "keyword", "occurrences", F.lit(dropped > 0).alias("some_late"))
+
+
 @query("trend_direction", f"""WITH {OCCURRENCES_SQL}, h AS (
   SELECT term AS keyword, count(*) FILTER (WHERE ts < TIMESTAMP '2024-01-16 00:00:00') AS a,
     count(*) FILTER (WHERE ts >= TIMESTAMP '2024-01-16 00:00:00') AS b FROM occ GROUP BY term)

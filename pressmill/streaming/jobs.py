@@ -1,11 +1,13 @@
 """Structured Streaming forms of keyed dedup, term trends and upserts."""
 from __future__ import annotations
 
+import threading
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..operators.keyed import first_per_key
 from ..session import scratch_path
@@ -71,6 +73,39 @@ def compacted(spark: SparkSession, path: str, keys: list[str], target: str) -> N
     current_rows(spark, path, keys).drop("version").write.mode("overwrite").parquet(target)
 
 
+class LateRows(StreamingQueryListener):
+    """Counts what event-time windows drop behind the watermark, per query: for aggregates these are groups of a task
+    (window and term), not the rows behind them. The session calls it, whoever runs the query."""
+
+    def __init__(self):
+        self.dropped: Counter[str] = Counter()
+        self._ended: dict[str, threading.Event] = {}
+        self._lock = threading.Lock()
+
+    def _end(self, run: str) -> threading.Event:
+        with self._lock:
+            return self._ended.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.dropped[str(event.progress.id)] += sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._end(str(event.runId)).set()
+
+    def of(self, query: StreamingQuery, patience: float = 60.0) -> int:
+        """What an ended query dropped in all its runs that this listener saw; events come in order, the end last."""
+        query.awaitTermination()
+        if not self._end(str(query.runId)).wait(patience):
+            raise TimeoutError("the end of the query was not reported")
+        return self.dropped[str(query.id)]
+
+
 def run_to_end(spark: SparkSession, label: str, start: Callable[[str, str], StreamingQuery]) -> str:
     """Runs a job over all input there is; returns the folder it wrote."""
     base = scratch_path(spark, label)
