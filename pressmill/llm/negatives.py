@@ -1,9 +1,9 @@
 """Hard negatives by rotated one-bit codes.
 
 A vector is turned by a random rotation and coded as signs; the code-vector alignment, its product with the unit vector of the
-signs, is stored with it. What the signs leave over is coded again, ``LEVELS`` times, and the length of the last rest is
-stored too. For an anchor, whose turned vector is cut into bit planes, popcounts of code and planes estimate the score, and by
-Cauchy-Schwarz the rest can change it by no more than the product of the lengths. Rows whose interval cannot reach what is
+signs, is stored with it. What the signs leave over is turned and coded again, ``LEVELS`` times in all, and the length of the
+last rest is stored too. For an anchor, which is turned alike and cut into bit planes, popcounts of code and planes estimate
+the score, and by Cauchy-Schwarz the rest can change it by no more than the product of the lengths. Rows whose interval cannot reach what is
 asked for are left out for certain; the others are scored in whole numbers. So results are exact.
 
 The anchors are a stated query set: they go to the rows in blocks of bounded size, a partition keeps the best few rows per
@@ -46,55 +46,60 @@ def padded(d: int) -> int:
     return max(64, 1 << (d - 1).bit_length())
 
 
-def rotate(x: np.ndarray) -> np.ndarray:
-    """Rows of ``x`` turned by three rounds of random signs and a Walsh-Hadamard transform, in a power of two of dimensions."""
-    n, d = x.shape
-    size = padded(d)
-    out = np.zeros((n, size))
-    out[:, :d] = x
-    signs = np.random.default_rng(SEED).choice([-1.0, 1.0], (3, size))
-    for s in signs:
-        out *= s
+def widened(x: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(x), padded(x.shape[1])))
+    out[:, :x.shape[1]] = x
+    return out
+
+
+def rotate(x: np.ndarray, level: int) -> np.ndarray:
+    """Rows of ``x`` (a power of two long) turned by two rounds of random signs and a Walsh-Hadamard transform."""
+    n, size = x.shape
+    for signs in np.random.default_rng([SEED, level]).choice([-1.0, 1.0], (2, size)):
+        x = x * signs
         step = 1
         while step < size:
-            pair = out.reshape(n, -1, 2, step)
-            out = np.stack([pair[:, :, 0] + pair[:, :, 1], pair[:, :, 0] - pair[:, :, 1]], axis=2).reshape(n, size)
+            pair = x.reshape(n, -1, 2, step)
+            x = np.stack([pair[:, :, 0] + pair[:, :, 1], pair[:, :, 0] - pair[:, :, 1]], axis=2).reshape(n, size)
             step *= 2
-        out /= np.sqrt(size)
-    return out
+        x = x / np.sqrt(size)
+    return x
 
 
 def encode(v: np.ndarray, levels: int) -> tuple[np.ndarray, np.ndarray]:
-    """(n x levels x words of bits, n x (levels + 2): alignments, length of the rest, length of what the codes stand for)."""
-    left = rotate(v.astype(np.float64))
+    """(n x levels x words of bits, n x (levels + 1): alignments, length of the rest)."""
+    left = widened(v)
     n, size = left.shape
-    whole = left.copy()
-    bits, align = np.empty((n, levels, size // 64), np.uint64), np.empty((n, levels + 2))
+    bits, align = np.empty((n, levels, size // 64), np.uint64), np.empty((n, levels + 1))
     for k in range(levels):
+        left = rotate(left, k)
         positive = left >= 0
         bits[:, k] = np.packbits(positive, axis=1, bitorder="little").view(np.uint64)
         align[:, k] = np.abs(left).sum(axis=1) / np.sqrt(size)
-        left -= np.where(positive, 1.0, -1.0) * (align[:, k] / np.sqrt(size))[:, None]
+        left = left - np.where(positive, 1.0, -1.0) * (align[:, k] / np.sqrt(size))[:, None]
     align[:, levels] = np.sqrt((left * left).sum(axis=1))
-    whole -= left
-    align[:, levels + 1] = np.sqrt((whole * whole).sum(axis=1))
     return bits, align
 
 
 class Planes:
-    """Turned anchors as ``PLANES`` bit planes: w ~ low + step * sum of 2^j plane_j, with the length of the error."""
-
-    def __init__(self, v: np.ndarray):
-        w = rotate(v.astype(np.float64))
-        self.low = w.min(axis=1)
-        self.step = np.maximum(w.max(axis=1) - self.low, 1e-300) / (2**PLANES - 1)
-        cut = np.rint((w - self.low[:, None]) / self.step[:, None]).astype(np.uint8)
-        near = self.low[:, None] + self.step[:, None] * cut
-        self.error = np.sqrt(((w - near) ** 2).sum(axis=1))
-        self.sum = near.sum(axis=1)
-        self.length = np.sqrt((w * w).sum(axis=1))
+    """Anchors, turned as the rows are at each level, as ``PLANES`` bit planes: w ~ low + step * sum of 2^j plane_j."""
+
+    def __init__(self, v: np.ndarray, levels: int):
+        w = widened(v)
         self.size = w.shape[1]
-        self.bits = np.stack([np.packbits((cut >> j) & 1, axis=1, bitorder="little").view(np.uint64) for j in range(PLANES)])
+        self.length = np.sqrt((w * w).sum(axis=1))
+        self.low, self.step, self.error, self.sum = (np.empty((levels, len(w))) for _ in range(4))
+        self.bits = np.empty((levels, PLANES, len(w), self.size // 64), np.uint64)
+        for k in range(levels):
+            w = rotate(w, k)
+            self.low[k] = w.min(axis=1)
+            self.step[k] = np.maximum(w.max(axis=1) - self.low[k], 1e-300) / (2**PLANES - 1)
+            cut = np.rint((w - self.low[k][:, None]) / self.step[k][:, None]).astype(np.uint8)
+            near = self.low[k][:, None] + self.step[k][:, None] * cut
+            self.error[k] = np.sqrt(((w - near) ** 2).sum(axis=1))
+            self.sum[k] = near.sum(axis=1)
+            for j in range(PLANES):
+                self.bits[k, j] = np.packbits((cut >> j) & 1, axis=1, bitorder="little").view(np.uint64)
 
     def intervals(self, which: np.ndarray, bits: np.ndarray, align: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Estimated scores of rows (down) and anchors ``which`` (across), and how far off they can be."""
@@ -105,12 +110,11 @@ class Planes:
             total = np.zeros((n, len(which)), np.int32)
             for j in range(PLANES):
                 for w in range(words):
-                    total += np.bitwise_count(bits[:, k, w][:, None] & self.bits[j, which, w]).astype(np.int32) << j
-            marked = total * self.step[which] + np.multiply.outer(ones[:, k], self.low[which])
-            estimate += (2 * marked - self.sum[which]) * (align[:, k] / np.sqrt(self.size))[:, None]
-        rest, coded = align[:, levels], align[:, levels + 1]
-        off = np.multiply.outer(rest, self.length[which]) + np.multiply.outer(coded, self.error[which])
-        return estimate, off + 1e-9 * (1 + np.multiply.outer(rest + coded, self.length[which]))
+                    total += np.bitwise_count(bits[:, k, w][:, None] & self.bits[k, j, which, w]).astype(np.int32) << j
+            marked = total * self.step[k, which] + np.multiply.outer(ones[:, k], self.low[k, which])
+            estimate += (2 * marked - self.sum[k, which]) * (align[:, k] / np.sqrt(self.size))[:, None]
+        off = np.multiply.outer(align[:, levels], self.length[which]) + align[:, :levels] @ self.error[:, which]
+        return estimate, off + 1e-9 * (1 + np.multiply.outer(align.sum(axis=1), self.length[which]))
 
 
 def _best(keys: list[np.ndarray], score: np.ndarray, id_: np.ndarray, row: np.ndarray, most: int) -> np.ndarray:
@@ -129,7 +133,7 @@ def _rows_of(batch: pa.RecordBatch, d: int, levels: int) -> tuple[np.ndarray, ..
     ids = batch.column("id")
     return (np.asarray(batch.column("row")), np.asarray(ids.fill_null(NULL_ID)), np.asarray(batch.column("label")),
             matrix(batch.column("v"), d).astype(np.int64),
-            np.frombuffer(code, np.uint64).reshape(batch.num_rows, levels, padded(d) // 64), matrix(batch.column("align"), levels + 2))
+            np.frombuffer(code, np.uint64).reshape(batch.num_rows, levels, padded(d) // 64), matrix(batch.column("align"), levels + 1))
 
 
 def _scores(v: np.ndarray, anchors: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -140,7 +144,7 @@ def _scores(v: np.ndarray, anchors: np.ndarray, i: np.ndarray, j: np.ndarray) ->
 def _nearest(anchors: dict, d: int, levels: int, most: int):
     """For mapInArrow: the best ``most`` rows of one partition with the label of each anchor."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        planes, rows, labels, v = Planes(anchors["v"]), anchors["row"], anchors["label"], anchors["v"]
+        planes, rows, labels, v = Planes(anchors["v"], levels), anchors["row"], anchors["label"], anchors["v"]
         held = [np.zeros(0, np.int64) for _ in range(4)]  # anchor, score, id, row
         least = np.full(len(rows), -np.inf)
         for whole in batches:
@@ -177,7 +181,7 @@ def _inside(anchors: dict, asked: dict, d: int, levels: int, most: int, least_sh
     """For mapInArrow: for each asked (anchor, positive) the best ``most`` rows of one partition with another label and a score
     in the window of the positive."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        planes, labels, v = Planes(anchors["v"]), anchors["label"], anchors["v"]
+        planes, labels, v = Planes(anchors["v"], levels), anchors["label"], anchors["v"]
         of, positive = asked["anchor"], asked["score"]
         n = len(v)
         # the scores that any positive of an anchor admits, then what each still needs in this partition
@@ -232,7 +236,7 @@ def coded(rows: DataFrame, id_col: str, vector: str, label: str, anchors: Column
             v = scaled(batch.column("v"), d, scale, 0, LIMIT)
             bits, align = encode(v, levels)
             flat = pa.ListArray.from_arrays(pa.array(np.arange(len(v) + 1, dtype=np.int32) * d), pa.array(v.astype(np.int32).ravel()))
-            lengths = pa.ListArray.from_arrays(pa.array(np.arange(len(v) + 1, dtype=np.int32) * (levels + 2)), pa.array(align.ravel()))
+            lengths = pa.ListArray.from_arrays(pa.array(np.arange(len(v) + 1, dtype=np.int32) * (levels + 1)), pa.array(align.ravel()))
             codes = pa.array([bits[k].tobytes() for k in range(len(v))], pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in ("row", "id", "label", "anchor")], flat, codes, lengths], [f.split()[0] for f in CODED.split(", ")])
