@@ -30,7 +30,7 @@ COMPONENTS = 8
 EXTRA = 8
 #: residual of a component, as a share of the largest eigenvalue, that counts as rounding
 ROUNDING = 2e-14
-PASSES = 8
+PASSES = 16
 
 SPECTRUM = "slot long, n long, sums array<long>, eigenvalues array<double>, basis array<double>"
 PRODUCT = "slot long, trace double, total array<double>"
@@ -143,10 +143,10 @@ def _refined(rows: DataFrame, shape: Shape, centre: Centre, values: np.ndarray,
         k = min(k, len(e))
         rest = image[:, :k] - vectors[:, :k] * e[:k]
         worst = float(np.sqrt((rest * rest).sum(axis=0)).max())
-        if best is not None and worst >= best[0] / 2:  # no pass gets below rounding
-            break
-        best = worst, e[:k], vectors[:, :k], trace
-        if worst <= ROUNDING * e[0]:
+        settled = best is not None and worst >= best[0] / 2 and worst <= 1e-10 * e[0]  # no pass gets below rounding
+        if best is None or worst < best[0]:
+            best = worst, e[:k], vectors[:, :k], trace
+        if settled or worst <= ROUNDING * e[0]:
             break
         ahead = np.subtract.outer(values / centre.n, e[:k])
         ahead = np.where(np.abs(ahead) < 1e-9 * e[0], 1e-9 * e[0], ahead)
