@@ -31,7 +31,7 @@ from ..operators.sections import placed
 from ..operators.title_join import keep_first_titles
 from ..operators.vector_join import keep_first_vectors, not_near
 from ..params import RELEVANCE_KEYWORDS, STOPWORDS_EN, STOPWORDS_ZH, TIER_BONUS, TIER_FETCH_LIMIT
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import landed as L
 from ..sources import state as ST
 from ..sources import tables as T
@@ -880,13 +880,69 @@ def narrative_spans(spark, sf):
         "leader", "n", F.unix_seconds("started_at").alias("started_sec"), F.unix_seconds("ended_at").alias("ended_sec"), "mean_length")
 
 
-@query("title_dedup_keep_first")
+_words_sql = "list_distinct(list_filter(string_split(title, ' '), lambda w: w <> ''))"
+
+
+def titles_sql(rows: str, threshold: float) -> str:
+    """Keep-first of ``rows`` (arrival, title) by token-set ratio. Pairs that lengths and letters leave open get the longest common
+    subsequence of their unshared words, row by row in a band, as long as the threshold is within reach."""
+    lim = f"CAST(floor({100 - threshold}e0 * (wa + wb) / 100 + 1e-9) AS INT)"
+    letters = "lambda z: abs(la - length(replace(oa, z, '')) - lb + length(replace(ob, z, '')))"
+    return f"""src AS (SELECT arrival, list_sort({_words_sql}) AS w FROM ({rows})),
+t AS MATERIALIZED (SELECT min(arrival) AS id, w FROM src WHERE len(w) > 0 GROUP BY w),
+split AS (SELECT a.id AS x, b.id AS y, a.w AS a, b.w AS b, list_intersect(a.w, b.w) AS c FROM t a JOIN t b ON a.id < b.id),
+p AS (SELECT x, y, len(c) > 0 AS shared, array_to_string(list_filter(a, lambda z: NOT list_contains(c, z)), ' ') AS oa,
+  array_to_string(list_filter(b, lambda z: NOT list_contains(c, z)), ' ') AS ob, length(array_to_string(c, ' ')) AS lc FROM split),
+q AS MATERIALIZED (SELECT *, length(oa) AS la, length(ob) AS lb, lc + length(oa) + CAST(shared AS INT) AS wa,
+  lc + length(ob) + CAST(shared AS INT) AS wb FROM p),
+sure AS (SELECT x, y FROM q WHERE shared AND (oa = '' OR ob = '' OR 100 - 100 * (la + 1) / (lc + wa)::DOUBLE >= {threshold}
+  OR 100 - 100 * (lb + 1) / (lc + wb)::DOUBLE >= {threshold})),
+hard AS MATERIALIZED (
+  SELECT row_number() OVER () AS k, *, CAST(floor((lim + lb - la) / 2) AS INT) AS past, CAST(floor((lim + la - lb) / 2) AS INT) AS back
+  FROM (SELECT *, {lim} AS lim FROM q ANTI JOIN sure USING (x, y)) WHERE abs(la - lb) <= lim
+    AND list_sum(list_transform(string_split('abcdefghijklmnopqrstuvwxyz', ''), {letters})) <= lim),
+lcs(k, i, o, v) AS (
+  SELECT k, 0, unnest(range(-back, past + 1)), 0 FROM hard
+  UNION ALL
+  SELECT k, i, o, v FROM (
+    SELECT k, i, o, v, max(v + least(la - i, lb - i - o)) OVER (PARTITION BY k) AS best, la, lb, lim FROM (
+      SELECT k, i, o, max(m) OVER (PARTITION BY k ORDER BY o) AS v, la, lb, lim FROM (
+        SELECT k, i + 1 AS i, o, la, lb, lim, CASE WHEN i + 1 + o >= 1 AND substring(oa, i + 1, 1) = substring(ob, i + 1 + o, 1)
+          THEN v + 1 ELSE lead(v, 1, 0) OVER (PARTITION BY k ORDER BY o) END AS m
+        FROM lcs JOIN hard USING (k) WHERE i < la))) WHERE 2 * best >= la + lb - lim),
+near AS (SELECT x, y FROM hard JOIN lcs USING (k) WHERE i = la AND o = lb - la AND 100 - 100 * (la + lb - 2 * v) / (wa + wb)::DOUBLE >= {threshold}),
+pairs AS MATERIALIZED (SELECT x, y FROM sure UNION ALL SELECT x, y FROM near),
+{_of_pairs("SELECT id FROM t")},
+left_over AS (SELECT id AS arrival FROM e JOIN kept USING (rn) UNION ALL SELECT arrival FROM src WHERE len(w) = 0)"""
+
+
+def _of_pairs(rows: str) -> str:
+    """Keep-first in SQL with ``pairs`` (x, y) as what is similar."""
+    return greedy_sql(rows, "(a.id, b.id) IN (SELECT (x, y) FROM pairs)").replace(
+        "FROM e a JOIN e b ON a.rn < b.rn AND (a.id, b.id) IN (SELECT (x, y) FROM pairs)",
+        "FROM pairs JOIN e a ON a.id = x JOIN e b ON b.id = y")
+
+
+@query("title_dedup_keep_first", f"""WITH RECURSIVE {ARTICLES_SQL},
+{titles_sql("SELECT arrival, title FROM art", CORPUS.title_threshold)} SELECT arrival FROM left_over""")
 def title_dedup_keep_first(spark, sf):
-    rows = articles(spark, sf).select("arrival", "title")
+    rows = materialize(articles(spark, sf).select("arrival", "title"), "titles")  # read twice
     return keep_first_titles(rows, CORPUS.title_threshold).select("arrival")
 
 
-_words_sql = "list_distinct(list_filter(string_split(title, ' '), lambda w: w <> ''))"
+_TYPOS_SQL = """SELECT arrival, left(title, 50) AS title FROM art
+UNION ALL SELECT arrival + 1000000000000, replace(replace(left(title, 50), 'th', 'ht'), 'nd', 'n') FROM art"""
+
+
+@query("title_dedup_typos", f"""WITH RECURSIVE {ARTICLES_SQL},
+{titles_sql(_TYPOS_SQL, 85.0)} SELECT arrival FROM left_over""")
+def title_dedup_typos(spark, sf):
+    """Beginnings of titles beside copies with typing errors, so that distances decide; blocks and batches are small."""
+    rows = articles(spark, sf).select("arrival", F.left("title", F.lit(50)).alias("title"))
+    typed = rows.select((F.col("arrival") + 1000000000000).alias("arrival"), F.replace(F.replace("title", F.lit("th"), F.lit("ht")), F.lit("nd"), F.lit("n")).alias("title"))
+    return keep_first_titles(rows.unionByName(typed), 85.0, block=128, first_batch=700).select("arrival")
+
+
 _subset_sql = f"""w AS MATERIALIZED (SELECT id, len(t) AS size, unnest(t) AS word FROM (SELECT arrival AS id, {_words_sql} AS t FROM art)),
 sub AS (SELECT a.id AS x, b.id AS y FROM w a JOIN w b ON a.word = b.word AND a.id <> b.id
   GROUP BY a.id, b.id, a.size HAVING count(*) = a.size),
@@ -894,9 +950,7 @@ pairs AS MATERIALIZED (SELECT DISTINCT least(x, y) AS x, greatest(x, y) AS y FRO
 
 
 @query("title_contained_keep_first", f"""WITH RECURSIVE {ARTICLES_SQL}, {_subset_sql},
-{greedy_sql("SELECT arrival AS id FROM art", "(a.id, b.id) IN (SELECT (x, y) FROM pairs)").replace(
-    "FROM e a JOIN e b ON a.rn < b.rn AND (a.id, b.id) IN (SELECT (x, y) FROM pairs)",
-    "FROM pairs JOIN e a ON a.id = x JOIN e b ON b.id = y")}
+{_of_pairs("SELECT arrival AS id FROM art")}
 SELECT id AS arrival FROM e JOIN kept USING (rn)""")
 def title_contained_keep_first(spark, sf):
     return keep_first_titles(articles(spark, sf).select("arrival", "title"), 100.0).select("arrival")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.times import days_before, instant
-from ..operators import cluster, edition, keyed, trends
+from ..operators import cluster, edition, keyed, moving, trends
 from ..operators.enrich import enriched
 from ..operators.expand import source_candidates
 from ..operators.normalize import normalize
@@ -139,13 +139,13 @@ def state_table(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def narrated(window: DataFrame, vectors: DataFrame, stories: DataFrame | None, cfg: Settings, now) -> DataFrame:
-    """Largest story clusters of the last days, newest article first as leader."""
+    """Largest story clusters of the last days: newest article first, means move with each member."""
     recent = window.filter(F.col("fetched_at") >= days_before(now, cfg.cluster_days))
     rows = recent.join(vectors.select("url_hash", F.col("vector").alias("embedding")), "url_hash")
     # newest first: sorted over all partitions, numbered within and across them
     ordered = rows.orderBy(F.col("fetched_at").desc(), "url_hash").withColumn(
         "order_no", F.monotonically_increasing_id()).withColumn("at", F.coalesce("published_at", "fetched_at"))
-    members = cluster.clustered(ordered, cfg.cluster_threshold, arrival="order_no")
+    members = moving.moving_clusters(ordered, cfg.cluster_threshold, arrival="order_no")
     return cluster.narratives(cluster.cluster_spans(members, "at", cfg), stories)
 
 
