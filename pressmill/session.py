@@ -4,6 +4,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -71,26 +72,27 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
-_scopes: list[list[str]] = []
+_here = threading.local()  # a run records what its own thread is given, not what others beside it use
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other run uses."""
     path = f"{shared_root(spark).rstrip('/')}/pressmill/{label}-{uuid.uuid4().hex}"
-    for scope in _scopes:
+    for scope in getattr(_here, "scopes", []):
         scope.append(path)
     return path
 
 
 @contextmanager
 def recorded_scratch() -> Iterator[list[str]]:
-    """Gathers the paths that are given out meanwhile, for ``remove_scratch``."""
+    """Gathers the paths that this thread is given meanwhile, for ``remove_scratch``."""
     paths: list[str] = []
-    _scopes.append(paths)
+    outer = getattr(_here, "scopes", [])
+    _here.scopes = [*outer, paths]
     try:
         yield paths
     finally:
-        _scopes[:] = [scope for scope in _scopes if scope is not paths]
+        _here.scopes = outer
 
 
 def remove_scratch(spark: SparkSession, paths: list[str]) -> None:
