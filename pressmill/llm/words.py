@@ -9,8 +9,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BLANK = 32
 #: bytes of text worked on at once: what numpy holds for them is some fifty times as much
@@ -40,6 +41,32 @@ def small_batches(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def quoted(name: str) -> str:
+    """A column name as a reference, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def whole_row(docs: DataFrame, *without: str) -> Column:
+    """All columns as one struct."""
+    return F.struct(*[F.col(quoted(c)) for c in docs.columns if c not in without] or [F.lit(1).alias("_")])
+
+
+def fresh(docs: DataFrame, name: str) -> str:
+    """``name``, or one like it that no column has."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def schema(*fields: tuple[str, T.DataType | str]) -> T.StructType:
+    """A schema of types as they are, so that odd names of nested columns need no parsing."""
+    out = T.StructType()
+    for name, kind in fields:
+        out = out.add(name, kind)
+    return out
+
+
 def utf8(column: str) -> Column:
     """The bytes of a text column, null as empty: what the functions here read."""
     return F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")
