@@ -217,7 +217,8 @@ def judged(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_co
     languages to one drawn by chance: a text below 0 is likelier to be gibberish than to be of any of them."""
     held = docs.sparkSession.sparkContext.broadcast(model)
     return docs.select(F.col(id_col).alias("id"), W.utf8(text_col).alias("body")).mapInArrow(
-        _predict(held), f"id {docs.schema[id_col].dataType.simpleString()}, lang_pred string, score double, sense double").withColumnRenamed("id", id_col)
+        _predict(held), W.schema(("id", docs.schema[id_col].dataType), ("lang_pred", "string"), ("score", "double"), ("sense", "double"))
+    ).withColumnRenamed("id", id_col)
 
 
 def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
