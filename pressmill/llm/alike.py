@@ -195,7 +195,8 @@ def similar_links(rows: DataFrame, row_col: str, text_col: str = "text", shingle
     same = materialize(keyed.groupBy("whole").agg(F.min("row").alias("rep")), "same")
     equal = keyed.select("row", "whole").join(same, "whole").where("row <> rep").select(F.col("row").alias("a"), F.col("rep").alias("b"))
     single = keyed.join(same.select(F.col("rep").alias("row")), "row").select(F.col("row").alias("rep"), F.explode("keys").alias("key"))
-    sizes = single.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # written, so that Spark splits a part that many texts share in the join below
+    sizes = materialize(single.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
     met = materialize(single.join(sizes, "key").withColumn("sub", F.pmod(F.xxhash64("key", "rep"), F.ceil(F.col("n") / group))), "met")
     wanted = met.select(F.col("rep").alias("row")).distinct()
     sets = read.join(wanted, "row", "left_semi").mapInArrow(_sets(shingle, similarity), "rep long, fine int, span long, own array<long>")

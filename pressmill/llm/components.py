@@ -36,7 +36,8 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One step: ``edges`` hang the larger neighbours (or all smaller ones and the node) on the smallest neighbour."""
     ends = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges
-    least = ends.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    # written, so that Spark splits a hot node in the join below
+    least = materialize(ends.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
     met = ends.join(least, "a")
     if large:
         out = met.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))

@@ -99,7 +99,8 @@ def links(prints: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Data
         masks = F.array(*[F.lit(_signed(m)).cast("long") for m in covering_masks(radius, level)])
         rows = rows.select("fp", F.explode(masks).alias("mask"), "kept").select("fp", F.col("kept").bitwiseOR(F.col("mask")).alias("kept")).distinct()
         rows = rows.withColumn("key", F.col("fp").bitwiseAND(F.col("kept")))
-        sizes = rows.groupBy("kept", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        # written, so that the join below meets two plain shuffles, of which Spark splits a crowded bucket
+        sizes = materialize(rows.groupBy("kept", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
         rows = materialize(rows.join(sizes, ["kept", "key"]), "buckets")
         small = rows.where(F.col("n") <= bucket).groupBy("kept", "key").agg(F.collect_list("fp").alias("fps"))
         found = small.select("fps").mapInArrow(_stars(radius), "a long, b long")
