@@ -143,3 +143,53 @@ def test_language_rejects_gibberish_and_mixtures_of_many(spark, tmp_path):
     found = {r.doc_id for r in kept.collect()}
     assert [-1 - k in found for k in range(len(planted))] == [good for _, good in planted]
     assert {r.doc_id for r in rows} <= found
+
+
+ODD = ["my-col", "n_lines", "n_dropped", "pipeline_row", "text_key", "lines_before", "doc", "a.b c`d", "key", "row"]
+
+
+def odd_docs(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = [(*r, *[f"{c}-{k}" for c in ODD]) for k, r in enumerate(docs.orderBy("doc_id").collect())]
+    schema = docs.schema
+    for name in ODD:
+        schema = schema.add(name, "string")
+    return spark.createDataFrame(rows, schema)
+
+
+def test_stages_keep_columns_of_any_name(spark, outputs, tmp_path):
+    now = odd_docs(spark)
+    want = {r.doc_id: tuple(r[c] for c in ODD) for r in now.collect()}
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        now.write.parquet(str(tmp_path / str(number)))
+        given = spark.read.parquet(str(tmp_path / str(number)))
+        now = stage(spark, given, SMALL)
+        assert now.columns == given.columns
+        got = now.collect()
+        assert got and all(tuple(r[c] for c in ODD) == want[r.doc_id] for r in got)
+    assert corpus_pipeline.packing(spark, spark.read.parquet(str(tmp_path / "3")), SMALL).count() > 0
+
+
+def test_runs_beside_each_other_stay_readable(spark, outputs, tmp_path):
+    """Neither a later run nor the stages of another table delete what a result reads."""
+    first = corpus_pipeline.run(spark, SMALL)
+    n = first.count()
+    a = corpus_pipeline.near_duplicates(spark, outputs[2], SMALL)
+    b = corpus_pipeline.decontamination(spark, outputs[3], SMALL)
+    c = corpus_pipeline.lines(spark, outputs[1], SMALL)
+    second = corpus_pipeline.run(spark, SMALL)
+    assert (a.count(), b.count(), c.count()) == (outputs[3].count(), outputs[4].count(), outputs[2].count())
+    assert first.count() == second.count() == n
+    key = ["doc_id", "piece", "n_words"]
+    assert sorted(map(tuple, first.select(*key).collect()), key=str) == sorted(map(tuple, second.select(*key).collect()), key=str)
+
+
+def test_stages_on_texts_of_any_length(spark, outputs):
+    rows = outputs[0].where("n_chars > 500").orderBy("doc_id").collect()
+    whole = " ".join(r.text for r in rows)
+    docs = spark.createDataFrame([(1, whole, "en", "s", None), (2, "", None, None, None), (3, None, None, None, 1), (4, rows[0].text, None, "s", 2)], outputs[0].schema)
+    kept = {name: {r.doc_id for r in stage(spark, docs, SMALL).collect()} for name, stage in corpus_pipeline.STAGES}
+    assert kept["language"] <= {1, 4} and 4 in kept["language"]
+    assert kept["lines"] == kept["packing"] == {1, 2, 3, 4}
+    assert kept["near_duplicates"] == {1, 2, 4}  # null counts as empty
+    assert kept["decontamination"] >= {2, 3} and 1 not in kept["decontamination"]  # all passages are in the whole

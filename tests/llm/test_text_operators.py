@@ -342,3 +342,21 @@ def test_pseudo_likelihood_trains_on_every_word(spark, monkeypatch):
     for j in range(6):
         np.add.at(slope[j], near[j], (p / 300 @ given[1]) * (1 - h * h))
     assert np.allclose(squares[0], 1e-3 + slope**2, atol=1e-6)
+
+
+@pytest.mark.parametrize("max_shared", [lines.MAX_SHARED, 0])
+def test_lines_are_dropped_where_the_texts_are_or_by_join(spark, max_shared):
+    rng = random.Random(8)
+    pool = [f"Line {i}  " for i in range(30)] + ["", "  ", "É", "é"]
+    texts = ["\n".join(rng.choices(pool, k=rng.randint(0, 12))) for _ in range(80)] + [None, "", "\n\n"]
+    rows = [(t, i, f"keep {i}", -i, i) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "text string, doc_id long, `my-col` string, n_lines long, high int").repartition(3)
+    found = lines.dedup_lines(docs, min_docs=14, counts=("before", "gone"), max_shared=max_shared).collect()
+    keys = [[re.sub("[A-Z]", lambda m: m[0].lower(), x.strip(" \t\n\x0b\x0c\r")) for x in (t or "").split("\n")] for t in texts]
+    often = {k for row in keys for k in row if k and sum(k in other for other in keys) >= 14}
+    assert often and any(k and k not in often for row in keys for k in row)
+    for r in found:
+        left = [x for x, k in zip((texts[r.doc_id] or "").split("\n"), keys[r.doc_id]) if k not in often]
+        assert (r.text, r.before, r.gone) == ("\n".join(left), len(keys[r.doc_id]), len(keys[r.doc_id]) - len(left))
+        assert (r["my-col"], r.n_lines, r.high) == (f"keep {r.doc_id}", -r.doc_id, r.doc_id)
+    assert len(found) == len(texts)
