@@ -1058,7 +1058,7 @@ _number = "CAST(substr(source, 4) AS INTEGER)"
 _limit_case = f"CASE {_number} % 4 + 1 {_limits} END"
 
 
-@query("source_scan", f"""WITH d AS (SELECT *, {_number} AS k FROM documents WHERE {_number} NOT IN (9, 18)),
+SOURCE_SCAN_SQL = f"""WITH d AS (SELECT *, {_number} AS k FROM documents WHERE {_number} NOT IN (9, 18)),
 feed AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS p FROM d WHERE k < 10),
 head AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS p FROM d WHERE k >= 10),
 told AS (SELECT * EXCLUDE (p), row_number() OVER (PARTITION BY source ORDER BY doc_id) AS p FROM head
@@ -1067,9 +1067,20 @@ SELECT source AS source_id, 'https://' || source || '.example.org/' || doc_id AS
   epoch_us(DATE '2024-01-30' - CAST(doc_id % 30 AS INTEGER)) // 1000000 + 37230 AS published_sec
 FROM feed WHERE p <= {_limit_case} AND doc_id % 7 <> 0
 UNION ALL SELECT source, CASE WHEN doc_id % 3 = 0 THEN '{L.STORY_LINK}' || doc_id ELSE 'https://' || source || '.example.org/' || doc_id END,
-  'A model ' || doc_id, k % 4 + 1, 1700000000 + doc_id FROM told WHERE p <= {_limit_case}""")
+  'A model ' || doc_id, k % 4 + 1, 1700000000 + doc_id FROM told WHERE p <= {_limit_case}"""
+
+
+@query("source_scan", SOURCE_SCAN_SQL)
 def source_scan(spark, sf):
     """Documents landed as feeds and stories, one folder per source, and scanned again through the registry."""
+    landing, registry = _landed_feeds(spark, sf)
+    return L.scanned(spark, landing, registry, CORPUS, as_of()).select(
+        "source_id", "url", "title", "tier", F.unix_seconds("published_at").alias("published_sec"))
+
+
+def _landed_feeds(spark, sf, cut_off=(), broken=(), missing=()):
+    """(landing folder, registry): documents as feeds of the sources below 10 and as stories of the others. Feeds that were cut
+    off lack their end, broken ones have a bad record, missing ones did not land."""
     landing = scratch_path(spark, "landing")
     number = F.substr("source", F.lit(4)).cast("int")
     docs = table(spark, sf, "documents").select("doc_id", F.col("source").alias("source_id"), number.alias("k"))
@@ -1087,15 +1098,17 @@ def source_scan(spark, sf):
         F.struct(F.lit(-1).cast("long").alias("doc_id"), F.lit("<rss><channel>").alias("value")),
         F.struct(F.lit(2**62).alias("doc_id"), F.lit("</channel></rss>").alias("value")))))
     told = docs.filter("k >= 10").select("source_id", "doc_id", story.alias("value"))
-    for kind, rows in (("rss", feeds.unionByName(frame)), ("hn_api", told)):
-        laid = rows.repartition("source_id").sortWithinPartitions("source_id", "doc_id").select("source_id", "value")
+    bad = told.select("source_id").distinct().filter(F.col("source_id").isin(*broken)).select(
+        "source_id", F.lit(-1).cast("long").alias("doc_id"), F.lit('{"id": 1, "type": "sto').alias("value"))
+    frame = frame.filter(~((F.col("doc_id") > 0) & F.col("source_id").isin(*cut_off)))
+    for kind, rows in (("rss", feeds.unionByName(frame)), ("hn_api", told.unionByName(bad))):
+        laid = rows.filter(~F.col("source_id").isin(*missing)).repartition("source_id").sortWithinPartitions("source_id", "doc_id").select("source_id", "value")
         laid.write.partitionBy("source_id").text(f"{landing}/{kind}")
     registry = docs.select("source_id", "k").distinct().select(
         F.col("source_id").alias("id"), F.col("source_id").alias("name"), (F.col("k") % 4 + 1).cast("int").alias("tier"),
         F.when(F.col("k") == 18, "ftp").when(F.col("k") < 10, "rss").otherwise("hn_api").alias("type"), F.lit("").alias("url"),
         F.lit(0.8).alias("confidence"), (F.col("k") != 9).alias("enabled"))
-    return L.scanned(spark, landing, registry, CORPUS, as_of()).select(
-        "source_id", "url", "title", "tier", F.unix_seconds("published_at").alias("published_sec"))
+    return landing, registry
 
 
 _failed = ("src3", "src7", "src12")
@@ -1112,6 +1125,25 @@ def cached_fallback(spark, sf):
     return L.with_cached(live, cache, failed).select("source_id", "arrival", "from_cache")
 
 
+@query("scan_or_cache", f"""SELECT source_id, url, false AS from_cache FROM ({SOURCE_SCAN_SQL}) WHERE source_id NOT IN {_failed}
+UNION ALL SELECT source, 'https://cache.example.org/' || doc_id, true FROM documents WHERE source IN {_failed} AND doc_id % 4 = 0""")
+def scan_or_cache(spark, sf):
+    """A feed that was cut off, a source without a file and a broken story record: the scan finds them, the cache steps in."""
+    landing, registry = _landed_feeds(spark, sf, cut_off=_failed[:1], missing=_failed[1:2], broken=_failed[2:])
+    docs = table(spark, sf, "documents").filter(F.col("doc_id") % 4 == 0)
+    cache = docs.select(F.col("source").alias("source_id"), F.concat(F.lit("https://cache.example.org/"), "doc_id").alias("url"))
+    rows, _ = L.scanned_or_cached(spark, landing, registry, cache, CORPUS, as_of())
+    return rows.select("source_id", "url", "from_cache")
+
+
+@query("scan_rejects", f"""SELECT source AS source_id, CASE source WHEN '{_failed[0]}' THEN 'broken feed file' WHEN '{_failed[1]}' THEN 'nothing landed'
+  ELSE 'broken record' END AS reason, 1::BIGINT AS n FROM documents WHERE source IN {_failed} GROUP BY source""")
+def scan_rejects(spark, sf):
+    """Why sources failed, and how many of their files or records."""
+    landing, registry = _landed_feeds(spark, sf, cut_off=_failed[:1], missing=_failed[1:2], broken=_failed[2:])
+    return L.scan_failures(spark, landing, registry)
+
+
 # ---------------------------------------------------------------- budget
 
 @query("token_cost_rollup", f"""WITH {LEDGER_SQL}

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.scoring import any_of
@@ -11,6 +12,7 @@ from ..functions.times import parse_feed_date
 from ..functions.urls import key_of, legacy_url
 from ..operators.keyed import top_per_key
 from ..params import DEFAULT_CONFIDENCE, DEFAULT_FETCH_LIMIT, RELEVANCE_KEYWORDS, STORY_HEAD, STORY_LINK, Settings
+from ..session import materialize
 
 FEED_TYPES = ("rss", "atom", "hn_api")
 
@@ -144,6 +146,52 @@ def scanned(spark: SparkSession, landing: str, sources: DataFrame, cfg: Settings
     return numbered(items, ["source_id", "published_at", "url"])
 
 
+def _feed_failures(spark: SparkSession, path: str) -> DataFrame:
+    """(source_id, reason) of feed files that are no feed or not well-formed; every file is one row, feeds are small."""
+    files = spark.read.text(path, wholetext=True)
+    parsed = F.from_xml("value", F.lit("x STRING, _bad STRING"), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    reason = (F.when(F.trim("value") == "", "empty file").when(parsed["_bad"].isNotNull(), "broken feed file")
+              .when(~F.col("value").rlike(r"<(rss|feed|rdf:RDF)[\s>]"), "not a feed"))
+    return _in_order(files).select("source_id", reason.alias("reason")).filter("reason IS NOT NULL")
+
+
+def _story_failures(spark: SparkSession, path: str) -> DataFrame:
+    """(source_id, reason) of lines that hold no JSON object."""
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    parsed = F.from_json("value", T.StructType([*schemas.STORY, T.StructField("_bad", T.StringType())]), {"columnNameOfCorruptRecord": "_bad"})
+    return _in_order(lines).filter(parsed["_bad"].isNotNull()).select("source_id", F.lit("broken record").alias("reason"))
+
+
+def scan_failures(spark: SparkSession, landing: str, sources: DataFrame) -> DataFrame:
+    """(source_id, reason, n): what keeps enabled sources from being scanned, files or records counted.
+
+    A source fails when nothing of it landed, or when a file of it can't be parsed to the end; one bad record is enough, as a
+    transfer that broke off leaves no other sign."""
+    by_type, _ = routed(sources)
+    found = spark.createDataFrame([], "source_id string, reason string")
+    for kind in FEED_TYPES:
+        path, wanted = f"{landing}/{kind}", by_type[kind].select(F.col("id").alias("source_id"))
+        here = spark.createDataFrame([], "source_id string")
+        if exists(spark, path):
+            bad = _story_failures(spark, path) if kind == "hn_api" else _feed_failures(spark, path)
+            found = found.unionByName(bad.join(wanted, "source_id", "left_semi"))
+            here = _in_order(spark.read.text(path)).select("source_id").distinct()
+        found = found.unionByName(wanted.join(here, "source_id", "left_anti").withColumn("reason", F.lit("nothing landed")))
+    return found.groupBy("source_id", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def scanned_or_cached(
+    spark: SparkSession, landing: str, sources: DataFrame, cache: DataFrame, cfg: Settings, as_of: Column,
+) -> tuple[DataFrame, DataFrame]:
+    """(raw items of the sources that could be scanned and cached items of those that failed, with ``from_cache``; the failures).
+
+    What a failed source did deliver is left out, so that it is not mixed with its cached items."""
+    failures = materialize(scan_failures(spark, landing, sources), "failures")  # at most a few rows per source
+    live = scanned(spark, landing, sources, cfg, as_of).join(F.broadcast(failures.select("source_id").distinct()), "source_id", "left_anti")
+    rows = with_cached(live.withColumn("from_cache", F.lit(False)), cache.withColumn("from_cache", F.lit(True)), failures.select("source_id").distinct())
+    return rows, failures
+
+
 def with_cached(live: DataFrame, cache: DataFrame, failed: DataFrame) -> DataFrame:
     """Live rows, and the cached rows of the sources that failed (``failed``: source_id)."""
     return live.unionByName(cache.join(failed.select("source_id"), "source_id", "left_semi"), allowMissingColumns=True)

@@ -132,3 +132,33 @@ def test_sliding_windows_drop_late_rows(spark, tmp_path):
     jobs.append_to(counts, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
     rows = {str(r["window_start"]): r["occurrences"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert rows["2026-05-01"] == 7 and rows["2026-04-25"] == 1 and "2026-05-06" not in rows
+
+
+def test_failed_sources_are_found(spark, tmp_path):
+    sources = spark.createDataFrame(
+        [(s, s, 1, t, "", 0.8, e) for s, t, e in [
+            ("fine", "rss", True), ("cut", "rss", True), ("page", "rss", True), ("empty", "atom", True), ("none", "atom", True),
+            ("good", "hn_api", True), ("bad", "hn_api", True), ("off", "rss", False), ("odd", "gopher", True)]],
+        "id string, name string, tier int, type string, url string, confidence double, enabled boolean")
+    files = {
+        "rss/source_id=fine/a.xml": "<rss>\n<channel>\n<item><title>T &amp; t</title><link>https://e.com/1</link></item>\n</channel></rss>\n",
+        "rss/source_id=cut/a.xml": "<rss><channel><item><title>T</title><link>https://e.com/2</link></item><item><tit",
+        "rss/source_id=cut/b.xml": "<rss><channel></channel></rss>",
+        "rss/source_id=page/a.xml": "<html><body>Not found</body></html>",
+        "rss/source_id=off/a.xml": "<rss",
+        "atom/source_id=empty/a.xml": " ",
+        "hn_api/source_id=good/a.json": '{"id": 1, "type": "story", "title": "an LLM", "time": 1778544000, "rank": 1}\n\n',
+        "hn_api/source_id=bad/a.json": '{"id": 2, "type": "story", "title": "an LLM", "rank": 1}\n{"id": 3, "ty\nalso bad\n',
+    }
+    for name, text in files.items():
+        path = tmp_path / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(text)
+    cache = spark.createDataFrame([(s, f"https://cache/{s}") for s in ("fine", "cut", "bad", "odd")], "source_id string, url string")
+    rows, failures = landed.scanned_or_cached(spark, str(tmp_path), sources, cache, CFG, instant(NOW))
+    assert sorted(tuple(r) for r in failures.collect()) == [
+        ("bad", "broken record", 2), ("cut", "broken feed file", 1), ("empty", "empty file", 1), ("none", "nothing landed", 1), ("page", "not a feed", 1)]
+    assert sorted((r["source_id"], r["from_cache"]) for r in rows.collect()) == [("bad", True), ("cut", True), ("fine", False), ("good", False)]
+    nothing = landed.scan_failures(spark, str(tmp_path / "void"), sources)
+    assert {r["source_id"]: r["reason"] for r in nothing.collect()} == dict.fromkeys(
+        ["fine", "cut", "page", "empty", "none", "good", "bad"], "nothing landed")
