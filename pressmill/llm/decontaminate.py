@@ -26,7 +26,7 @@ from pressmill.llm import words as W
 from pressmill.session import materialize, scratch_path
 
 WINDOW = 10
-SEGMENT_BYTES = 2 << 20
+SEGMENT_BYTES = 1 << 20
 #: words of test items that are searched, and held in memory, at once
 BLOCK_WORDS = 100_000
 #: candidate places that one step of a search holds in memory
