@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.times import days_before, instant
-from ..operators import cluster, edition, keyed, moving, trends
+from ..operators import cluster, edition, keyed, moving, posting, trends
 from ..operators.enrich import enriched
 from ..operators.expand import source_candidates
 from ..operators.normalize import normalize
@@ -20,7 +20,7 @@ from ..operators.sections import placed
 from ..operators.title_join import keep_first_titles
 from ..operators.vector_join import keep_first_vectors, not_near
 from ..params import Settings
-from ..session import configure, materialize
+from ..session import configure, counted, materialize
 from ..sources import landed, state, tables
 
 #: what decides which copy of an item came first, when the rows don't say so themselves
@@ -54,16 +54,15 @@ def deduplicated(
 ) -> tuple[DataFrame, dict[str, int]]:
     """Kept articles and rows dropped per layer; cheap layers first, each on what the last one left."""
     counts = keyed.keyed_drop_counts(articles, stored).first().asDict()
-    single = materialize(keyed.new_articles(articles, stored), "keyed")
-    by_title = materialize(keep_first_titles(single, cfg.title_threshold), "titled")
-    counts["by_title"] = single.count() - by_title.count()
-    kept = by_title
+    single, n_single = counted(keyed.new_articles(articles, stored), "keyed")
+    kept, n_titled = counted(keep_first_titles(single, cfg.title_threshold), "titled")
+    n_kept = n_titled
     if vectors is not None:
-        rows = by_title.join(vectors.withColumnRenamed("vector", "embedding"), "url_hash", "left")
+        rows = kept.join(vectors.withColumnRenamed("vector", "embedding"), "url_hash", "left")
         if recent is not None:
             rows = not_near(rows, recent.withColumnRenamed("vector", "embedding"), cfg.vector_threshold)
-        kept = materialize(keep_first_vectors(materialize(rows, "vectors"), cfg.vector_threshold), "kept")
-    counts["by_embedding"] = by_title.count() - kept.count()
+        kept, n_kept = counted(keep_first_vectors(materialize(rows, "vectors"), cfg.vector_threshold), "kept")
+    counts |= {"by_title": n_single - n_titled, "by_embedding": n_titled - n_kept}
     return kept, counts
 
 
@@ -82,10 +81,12 @@ def process(
     run_id, started = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}", time.monotonic()  # grows with the start
     tables.append_run(spark, paths.runs, run_id, "running", now, {})
     try:
-        fetched = Observation("fetched")
+        stages = [("start", time.monotonic())]
         numbered = raw if "arrival" in raw.columns else landed.numbered(raw, [c for c in ARRIVAL_ORDER if c in raw.columns])
+        fetched = Observation("fetched")
         seen = numbered.observe(fetched, F.count(F.lit(1)).alias("n"))
-        articles = materialize(normalize(seen, now), "normalized")
+        articles, n_normal = counted(normalize(seen, now), "normalized")
+        stages.append(("fetch", time.monotonic()))
 
         stored = state_table(spark, paths.articles, STORED_ARTICLE)
         recent = None
@@ -94,9 +95,11 @@ def process(
                 state_table(spark, paths.embeddings, schemas.EMBEDDING).select("url_hash", "vector"), stored,
                 cfg.vector_days, now)
         kept, drops = deduplicated(articles, stored, vectors, recent, cfg)
+        stages.append(("dedup", time.monotonic()))
 
         rows = publishable(policy_boosted(scored(kept, cfg, now), cfg), cfg)
-        published = materialize(enriched(rows, answers, cfg).select(*ARTICLE_COLUMNS), "published")
+        published, n_published = counted(enriched(rows, answers, cfg).select(*ARTICLE_COLUMNS), "published")
+        stages.append(("score", time.monotonic()))
         tables.append_articles(published, paths.articles)
         if vectors is not None:
             kept_vectors = kept.filter(F.size("embedding") > 0).select(
@@ -125,8 +128,10 @@ def process(
         result = assembled(published, moved, emerging, suggested, told, drops, day, now, cfg)
         tables.write_edition(materialize(result, "edition"), paths.archive)
         tables.append_run(spark, paths.runs, run_id, "success", now, {
-            "articles_fetched": fetched.get["n"], "articles_filtered": published.count(),
-            "dedup_drop_total": sum(drops.values()), "elapsed_seconds": round(time.monotonic() - started, 3)})
+            "articles_fetched": fetched.get["n"], "articles_rejected": fetched.get["n"] - n_normal, "articles_filtered": n_published,
+            "dedup_drop_total": sum(drops.values()), **{f"dedup_{k}": v for k, v in drops.items()},
+            **{f"{name}_seconds": round(end - start, 3) for (_, start), (name, end) in zip(stages, stages[1:])},
+            "elapsed_seconds": round(time.monotonic() - started, 3)})
         return state.edition_of(spark.read.parquet(paths.archive), day)
     except Exception:
         tables.append_run(spark, paths.runs, run_id, "failed", now, {
@@ -194,8 +199,10 @@ def publish(spark: SparkSession, paths: Paths, day: dt.date, cfg: Settings | Non
     if landed.exists(spark, paths.archive):
         archive = spark.read.parquet(paths.archive)
         chosen = state.edition_or_latest(archive, day)
-        tables.write_search_index(edition.flattened(chosen, cfg), paths.search_index)
-        tables.write_edition_index(archive, paths.edition_index)
+        flat = edition.flattened(chosen, cfg)
+        tables.write_search_index(flat, paths.search_index)
+        posting.write_postings(flat, paths.search_postings)
+        tables.write_edition_index(tables.unindexed(archive, chosen, paths.edition_index), paths.edition_index)
         number = chosen.agg(F.max(edition.n_articles())).scalar()  # one edition at most
     checked = spark.range(1).select(F.lit(day).alias("date"), number.alias("n_articles"))
     return edition.alerts(checked.select(

@@ -9,7 +9,8 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -113,6 +114,13 @@ def materialize(df: DataFrame, label: str = "cut") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame, label: str = "cut") -> tuple[DataFrame, int]:
+    """``df`` written once, and the number of its rows, observed while they are written."""
+    seen = Observation()
+    rows = materialize(df.observe(seen, F.count(F.lit(1)).alias("n")), label)
+    return rows, seen.get.get("n", 0)
+
+
 def fan_out(df: DataFrame) -> DataFrame:
     """Spreads a scan that has fewer splits than the cluster has cores (one small or unsplittable
     file) before work that is heavy per row. A large input has splits enough and is left alone."""

@@ -104,4 +104,16 @@ def write_search_index(items: DataFrame, path: str) -> None:
 
 
 def write_edition_index(editions: DataFrame, path: str) -> None:
-    edition_index(editions).write.mode("overwrite").json(path)
+    """Index rows of the editions given, one folder per date; those of other dates stay."""
+    edition_index(editions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").json(path)
+
+
+def unindexed(archive: DataFrame, chosen: DataFrame, path: str) -> DataFrame:
+    """The chosen edition and those that the index at ``path`` lacks. Dates are partitions on both sides, so of the archive
+    only what is missing is read."""
+    spark = archive.sparkSession
+    dates = archive.select("date").distinct()
+    if exists(spark, path):
+        dates = dates.join(spark.read.schema("date date").json(path).select("date").distinct(), "date", "left_anti")
+    wanted = dates.unionByName(chosen.select("date")).distinct()
+    return archive.join(F.broadcast(wanted), "date", "left_semi")  # a few bytes per day

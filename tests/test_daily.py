@@ -4,8 +4,10 @@ import json
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
-from pressmill.operators import runs
+from pressmill.operators import posting, runs
+from pressmill.operators.edition import edition_index
 from pressmill.params import HIGH_IMPACT, MARKET_SIGNAL, POLICY_KEYWORDS, TAIWAN_RELATED, TIER_BONUS, WEIGHTS, Settings
 from pressmill.plans import daily
 from pressmill.sources import landed, tables
@@ -103,7 +105,28 @@ def test_state_and_second_day(spark, run):
     fired = daily.publish(spark, paths, AS_OF.date()).collect()
     assert [r["message"].split(":")[0] for r in fired] == ["Article count below minimum"]
     assert spark.read.json(paths.search_index).count() == 4
-    assert spark.read.json(paths.edition_index).count() == 2
+    index = spark.read.json(paths.edition_index)
+    assert {(str(r["date"]), r["article_count"]) for r in index.collect()} == {
+        (str(r["date"]), r["article_count"]) for r in edition_index(spark.read.parquet(paths.archive)).collect()} and index.count() == 2
+    found = posting.search_postings(spark, paths.search_postings, nxt_title(run)[2:9]).collect()
+    assert nxt_title(run) in {r["title"] for r in found}
+    # all dates are indexed now: publishing one again reads its partition of the archive only
+    left = tables.unindexed(spark.read.parquet(paths.archive), spark.read.parquet(paths.archive).where(F.col("date") == F.lit(AS_OF.date())), paths.edition_index)
+    assert [r["date"] for r in left.select("date").collect()] == [AS_OF.date()]
+    assert "dynamicpruning" in left._jdf.queryExecution().toString()
+
+
+def nxt_title(run):
+    return next(a["title"] for s in run[-1]["sections"] for a in s["articles"])
+
+
+def test_metrics_equal_counts(spark, run):
+    paths, raw, *_ = run
+    rows = [r for r in spark.read.parquet(paths.runs).collect() if r["status"] == "success"]
+    first = min(rows, key=lambda r: r["run_id"])["metrics"]
+    assert first["articles_fetched"] == raw.count() and first["articles_filtered"] == 4
+    assert first["dedup_drop_total"] == sum(first[f"dedup_{k}"] for k in ("by_db", "by_url", "by_title", "by_embedding")) == 1
+    assert all(first[f"{k}_seconds"] >= 0 for k in ("fetch", "dedup", "score", "elapsed"))
 
 
 def test_rerun_keeps_what_was_written_last(spark, run, tmp_path):
