@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
-from ..params import STOPWORDS_EN, STOPWORDS_ZH
+from ..params import REASON_FROM, REASON_JOIN, REASON_SAMPLE, STOPWORDS_EN, STOPWORDS_ZH
 
 # All characters that count as white space, spelled out because regex dialects disagree on \s.
 WHITESPACE = (
@@ -73,8 +73,8 @@ def embedded_json(text: Column, schema: T.StructType | str, fallback: Column) ->
 def mention(n: Column, where: Column, titles: Column) -> Column:
     """Why a host is suggested: count, host and its first two titles."""
     return F.concat(
-        n.cast("string"), F.lit(" articles from "), where, F.lit(" in last batch; sample: "),
-        F.array_join(F.slice(titles, 1, 2), " · "),
+        n.cast("string"), F.lit(REASON_FROM), where, F.lit(REASON_SAMPLE),
+        F.array_join(F.slice(titles, 1, 2), REASON_JOIN),
     )
 
 

@@ -1,9 +1,10 @@
 """Editions: nesting, flattening, index, quality, cards, alerts."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import params as P
 from ..params import SCHEMA_VERSION, Settings
 
 ARTICLE_FIELDS = [
@@ -62,6 +63,19 @@ def edition_index(editions: DataFrame) -> DataFrame:
     return editions.select("date", *keep, n_articles().alias("article_count")).orderBy(F.col("date").desc())
 
 
+def listed(index: DataFrame, cfg: Settings) -> DataFrame:
+    """The newest rows of the edition index with their position, and which of them the front page shows."""
+    newest = index.orderBy(F.col("date").desc()).limit(cfg.editions_listed)
+    place = F.row_number().over(Window.orderBy(F.col("date").desc()))  # over the few rows that are left
+    return newest.withColumn("position", place).withColumn("on_front", F.col("position").between(*cfg.editions_front))
+
+
+def shown_trends(editions: DataFrame, cfg: Settings) -> DataFrame:
+    """Editions with the trends that a page shows, each with its first samples."""
+    return editions.withColumn("trends", F.transform(F.slice("trends", 1, cfg.trends_shown), lambda t: t.withField(
+        "samples", F.slice(t["samples"], 1, cfg.samples_shown))))
+
+
 def evaluated(editions: DataFrame, cfg: Settings, drops: DataFrame | None = None) -> DataFrame:
     """Quality of each edition: components, overall mark, warnings.
 
@@ -88,14 +102,14 @@ def evaluated(editions: DataFrame, cfg: Settings, drops: DataFrame | None = None
     })
     df = df.join(drops, "date", "left") if drops is not None else df.withColumn("dropped", F.lit(0).cast("long"))
     warnings = F.array_compact(F.array(
-        F.when(F.col("coverage") < 0.8, "section coverage below 80%"),
-        F.when(n < cfg.min_articles, "fewer than min articles for publish"),
-        F.when(F.coalesce("dropped", F.lit(0)) > n * 3, "dedup-heavy fetch — sources may be redundant"),
+        F.when(F.col("coverage") < 0.8, P.WARN_COVERAGE),
+        F.when(n < cfg.min_articles, P.WARN_FEW),
+        F.when(F.coalesce("dropped", F.lit(0)) > n * 3, P.WARN_DROPS),
     ))
     return df.withColumns({
         "overall": F.round(F.col("coverage") * 0.35 + F.col("diversity") * 0.20
                            + F.col("quality") * 0.30 + F.col("insight_rate") * 0.15, 3),
-        "warnings": F.when(some, warnings).otherwise(F.array(F.lit("no articles in edition"))),
+        "warnings": F.when(some, warnings).otherwise(F.array(F.lit(P.WARN_EMPTY))),
     }).withColumns({c: F.round(c, 3) for c in ("coverage", "diversity", "quality", "insight_rate")}).drop(
         "sections", "_a", "dropped")
 
@@ -106,10 +120,10 @@ def cards(editions: DataFrame, trend_counts: DataFrame | None = None) -> DataFra
     df = editions.select("date", arts.alias("_a"))
     df = df.join(trend_counts, "date", "left") if trend_counts is not None else df.withColumn("n_trends", F.lit(0))
     values = [
-        ("今日新聞", F.size("_a")),
-        ("來源數", F.size(F.array_distinct(F.transform("_a", lambda a: a["source_name"])))),
-        ("高影響事件", F.size(F.filter("_a", lambda a: F.coalesce(a["importance"].isin("high", "critical"), F.lit(False))))),
-        ("趨勢主題", F.coalesce("n_trends", F.lit(0)).cast("int")),
+        (P.CARD_ARTICLES, F.size("_a")),
+        (P.CARD_SOURCES, F.size(F.array_distinct(F.transform("_a", lambda a: a["source_name"])))),
+        (P.CARD_IMPACT, F.size(F.filter("_a", lambda a: F.coalesce(a["importance"].isin("high", "critical"), F.lit(False))))),
+        (P.CARD_TRENDS, F.coalesce("n_trends", F.lit(0)).cast("int")),
     ]
     return df.select("date", F.inline(F.array(*[
         F.struct(F.lit(i).alias("position"), F.lit(label).alias("label"), value.cast("string").alias("value"))
@@ -124,11 +138,11 @@ def alerts(days: DataFrame, cfg: Settings) -> DataFrame:
     n = F.col("n_articles")
     errors = F.filter("errors", lambda e: F.coalesce(e, F.lit("")) != "")
     fired = F.array_compact(F.array(
-        F.when(n.isNull(), "AI generation failed — no edition produced"),
+        F.when(n.isNull(), P.ALERT_NO_EDITION),
         F.when(n < cfg.min_articles, F.concat(
-            F.lit("Article count below minimum: "), n.cast("string"), F.lit(f" < {cfg.min_articles}"))),
-        F.when(~F.col("email_ok"), "Email delivery failed"),
-        F.when(~F.col("publish_ok"), "GitHub publish failed"),
-        F.when(F.size(errors) > 0, F.concat(F.lit("Pipeline errors: "), F.array_join(F.slice(errors, 1, 3), "; "))),
+            F.lit(P.ALERT_FEW), n.cast("string"), F.lit(f" < {cfg.min_articles}"))),
+        F.when(~F.col("email_ok"), P.ALERT_MAIL),
+        F.when(~F.col("publish_ok"), P.ALERT_PUBLISH),
+        F.when(F.size(errors) > 0, F.concat(F.lit(P.ALERT_ERRORS), F.array_join(F.slice(errors, 1, 3), "; "))),
     ))
     return days.select("date", F.posexplode(fired).alias("position", "message"))

@@ -74,6 +74,18 @@ SOURCES = [
     ("yahoo_finance_ai", "Yahoo Finance AI", 4, "rss", "https://finance.yahoo.com/news/rssindex", 0.6, True),
 ]
 
+WARN_COVERAGE = "section coverage below 80%"
+WARN_FEW = "fewer than min articles for publish"
+WARN_DROPS = "dedup-heavy fetch — sources may be redundant"
+WARN_EMPTY = "no articles in edition"
+CARD_ARTICLES, CARD_SOURCES, CARD_IMPACT, CARD_TRENDS = "今日新聞", "來源數", "高影響事件", "趨勢主題"
+ALERT_NO_EDITION = "AI generation failed — no edition produced"
+ALERT_FEW = "Article count below minimum: "
+ALERT_MAIL = "Email delivery failed"
+ALERT_PUBLISH = "GitHub publish failed"
+ALERT_ERRORS = "Pipeline errors: "
+REASON_FROM, REASON_SAMPLE, REASON_JOIN = " articles from ", " in last batch; sample: ", " · "
+
 SCHEMA_VERSION = "2.0"
 STORY_LINK = "https://news.ycombinator.com/item?id="
 STORY_HEAD = 30  # the first N ids of a story list are looked at
@@ -120,6 +132,10 @@ class Settings:
     cluster_min: int = 3
     cluster_top: int = 3
     known_sources: list = field(default_factory=lambda: list(SOURCES))
+    editions_listed: int = 30
+    editions_front: tuple = (2, 9)  # positions of earlier editions on the front page, the newest being 1
+    trends_shown: int = 9
+    samples_shown: int = 2
     daily_token_budget: int | None = None
     monthly_token_budget: int | None = None
     permalink_prefix: str = ""

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import params as PA
 from ..functions import rules as R
 from ..functions import scoring as S
 from ..functions import text as X
@@ -214,8 +215,8 @@ def host_counts(spark, sf):
 @query("source_candidates", f"""WITH {HOSTS_SQL}, top AS (
   SELECT host, count(*) AS n, min(page_id) AS first FROM strangers GROUP BY host ORDER BY n DESC, first LIMIT 10)
 SELECT host, 'https://' || host || '/feed' AS url, n, least(10e0, n * 1.5e0) AS score,
-  n || ' articles from ' || host || ' in last batch; sample: ' || (
-    SELECT string_agg(title, ' · ' ORDER BY page_id) FROM (
+  n || {lit(PA.REASON_FROM)} || host || {lit(PA.REASON_SAMPLE)} || (
+    SELECT string_agg(title, {lit(PA.REASON_JOIN)} ORDER BY page_id) FROM (
       SELECT title, page_id FROM strangers s WHERE s.host = top.host ORDER BY page_id LIMIT 2)) AS reason
 FROM top WHERE n >= 2""")
 def source_candidates_(spark, sf):
@@ -450,9 +451,9 @@ def edition_eval(spark, sf):
 
 @query("eval_warnings", f"""{EVAL_SQL}
 SELECT CAST(date AS VARCHAR) AS date, array_to_string(list_filter([
-  CASE WHEN coverage < 0.8e0 THEN 'section coverage below 80%' END,
-  CASE WHEN n < {CORPUS.min_articles} THEN 'fewer than min articles for publish' END,
-  CASE WHEN dropped > n * 3 THEN 'dedup-heavy fetch — sources may be redundant' END], lambda w: w IS NOT NULL), '; ') AS warnings
+  CASE WHEN coverage < 0.8e0 THEN {lit(PA.WARN_COVERAGE)} END,
+  CASE WHEN n < {CORPUS.min_articles} THEN {lit(PA.WARN_FEW)} END,
+  CASE WHEN dropped > n * 3 THEN {lit(PA.WARN_DROPS)} END], lambda w: w IS NOT NULL), '; ') AS warnings
 FROM ev""")
 def eval_warnings(spark, sf):
     return ED.evaluated(_editions(spark, sf), CORPUS, _drops(spark, sf)).select(
@@ -463,8 +464,8 @@ def eval_warnings(spark, sf):
   SELECT date, count(*) AS a, count(DISTINCT source_name) AS b,
     count(*) FILTER (WHERE importance IN ('high', 'critical')) AS c FROM placed GROUP BY date)
 SELECT CAST(date AS VARCHAR) AS date, label, CAST(value AS VARCHAR) AS value FROM (
-  SELECT date, '今日新聞' AS label, a AS value FROM per_day UNION ALL SELECT date, '來源數', b FROM per_day
-  UNION ALL SELECT date, '高影響事件', c FROM per_day UNION ALL SELECT date, '趨勢主題', 0 FROM per_day)""")
+  SELECT date, {lit(PA.CARD_ARTICLES)} AS label, a AS value FROM per_day UNION ALL SELECT date, {lit(PA.CARD_SOURCES)}, b FROM per_day
+  UNION ALL SELECT date, {lit(PA.CARD_IMPACT)}, c FROM per_day UNION ALL SELECT date, {lit(PA.CARD_TRENDS)}, 0 FROM per_day)""")
 def dashboard(spark, sf):
     return ED.cards(_editions(spark, sf)).select(F.col("date").cast("string").alias("date"), "label", "value")
 
@@ -472,11 +473,11 @@ def dashboard(spark, sf):
 @query("alert_rows", f"""{EDITION_SQL}, days AS (
   SELECT date, day(date) AS d, CASE WHEN day(date) % 7 <> 0 THEN count(*) END AS n FROM placed GROUP BY date)
 SELECT CAST(date AS VARCHAR) AS date, message FROM (
-  SELECT date, CASE WHEN n IS NULL THEN 'AI generation failed — no edition produced' END AS message FROM days
-  UNION ALL SELECT date, CASE WHEN n < {CORPUS.min_articles} THEN 'Article count below minimum: ' || n || ' < {CORPUS.min_articles}' END FROM days
-  UNION ALL SELECT date, CASE WHEN d % 4 = 0 THEN 'Email delivery failed' END FROM days
-  UNION ALL SELECT date, CASE WHEN d % 5 = 0 THEN 'GitHub publish failed' END FROM days
-  UNION ALL SELECT date, CASE WHEN d % 6 = 0 THEN 'Pipeline errors: e1; e2; e3' END FROM days) WHERE message IS NOT NULL""")
+  SELECT date, CASE WHEN n IS NULL THEN {lit(PA.ALERT_NO_EDITION)} END AS message FROM days
+  UNION ALL SELECT date, CASE WHEN n < {CORPUS.min_articles} THEN {lit(PA.ALERT_FEW)} || n || ' < {CORPUS.min_articles}' END FROM days
+  UNION ALL SELECT date, CASE WHEN d % 4 = 0 THEN {lit(PA.ALERT_MAIL)} END FROM days
+  UNION ALL SELECT date, CASE WHEN d % 5 = 0 THEN {lit(PA.ALERT_PUBLISH)} END FROM days
+  UNION ALL SELECT date, CASE WHEN d % 6 = 0 THEN {lit(PA.ALERT_ERRORS)} || 'e1; e2; e3' END FROM days) WHERE message IS NOT NULL""")
 def alert_rows(spark, sf):
     d = F.day("date")
     days = _editions(spark, sf).select(
@@ -494,6 +495,30 @@ def edition_index(spark, sf):
         F.col("date").cast("string").alias("date"), F.col("article_count").cast("long").alias("article_count"))
 
 
+@query("edition_archive", f"""{EDITION_SQL}, index AS (SELECT date, count(*) AS article_count FROM placed GROUP BY date),
+listed AS (SELECT *, row_number() OVER (ORDER BY date DESC) AS position FROM index)
+SELECT CAST(date AS VARCHAR) AS date, article_count, CAST(position AS INT) AS position,
+  position BETWEEN {CORPUS.editions_front[0]} AND {CORPUS.editions_front[1]} AS on_front FROM listed WHERE position <= {CORPUS.editions_listed}""")
+def edition_archive(spark, sf):
+    """The editions an archive page lists, and which the front page shows."""
+    return ED.listed(ED.edition_index(_editions(spark, sf)), CORPUS).select(
+        F.col("date").cast("string").alias("date"), F.col("article_count").cast("long").alias("article_count"), "position", "on_front")
+
+
+@query("edition_reads", f"""{EDITION_SQL}
+SELECT CASE WHEN date = (SELECT max(date) FROM placed) THEN 'latest' ELSE 'by date' END AS asked, CAST(date AS VARCHAR) AS date,
+  count(*) AS article_count FROM placed WHERE date IN ((SELECT min(date) FROM placed), (SELECT max(date) FROM placed)) GROUP BY date""")
+def edition_reads(spark, sf):
+    """Written editions read by date and the latest one."""
+    path = scratch_path(spark, "archive")
+    T.write_edition(_editions(spark, sf), path)
+    archive = spark.read.parquet(path)
+    first = archive.agg(F.min("date")).first()[0]
+    found = ST.edition_of(archive, first).withColumn("asked", F.lit("by date")).unionByName(
+        ST.latest_edition(archive).withColumn("asked", F.lit("latest")))
+    return found.select("asked", F.col("date").cast("string").alias("date"), ED.n_articles().cast("long").alias("article_count"))
+
+
 FLAT_SQL = f"""{EDITION_SQL}, flat AS (
   SELECT p.date, p.title, p.summary, p.insight, p.tags, p.placed_section AS section, sec.label AS section_label,
     p.url AS source_url, p.source_name, p.url_hash,
@@ -687,6 +712,25 @@ def trend_samples(spark, sf):
         "window_days", "keyword", F.array_join("samples", " | ").alias("samples"))
 
 
+@query("shown_trends", f"""WITH {ARTICLES_SQL}, {_ALL},
+occ AS (SELECT fetched_at AS ts, unnest({terms_sql(_term_text)}) AS term FROM cl),
+top AS ({windows_sql(AS_OF_TEXT)}),
+found AS (SELECT window_days, keyword, title, row_number() OVER (
+    PARTITION BY window_days, keyword ORDER BY fetched_at DESC, arrival) AS rn
+  FROM top JOIN cl ON contains(lower(title), lower(keyword))
+    AND fetched_at >= TIMESTAMP '{AS_OF_TEXT}' - to_days(window_days) AND fetched_at <= TIMESTAMP '{AS_OF_TEXT}')
+SELECT window_days, keyword, string_agg(title, ' | ' ORDER BY rn) AS samples FROM found
+WHERE rn <= {CORPUS.samples_shown} GROUP BY window_days, keyword ORDER BY window_days, keyword LIMIT {CORPUS.trends_shown}""")
+def shown_trends(spark, sf):
+    """Of an edition's trends those that a page shows, with their first samples."""
+    rows = classified(articles(spark, sf), CORPUS).withColumn("ts", F.col("fetched_at"))
+    top = TR.top_terms(TR.window_counts(TR.article_terms(rows, ["ts"]), CORPUS.trend_windows, as_of()), CORPUS)
+    told = TR.sample_titles(rows, top, as_of(), CORPUS.trend_windows).where(F.size("samples") > 0)  # the top terms of each window
+    edition = told.agg(F.array_sort(F.collect_list(F.struct("window_days", "keyword", "samples"))).alias("trends"))
+    return ED.shown_trends(edition, CORPUS).select(F.inline("trends")).select(
+        "window_days", "keyword", F.array_join("samples", " | ").alias("samples"))
+
+
 @query("trend_series", f"""WITH {OCCURRENCES_SQL}, daily AS (
   SELECT CAST(ts AS DATE) AS date, term AS keyword, count(*) AS n FROM occ GROUP BY 1, 2),
 trail AS (SELECT date, keyword, CAST(sum(n) OVER (PARTITION BY keyword ORDER BY date
