@@ -2,9 +2,10 @@
 
 Rows get a cell: that of the nearest of a few reference vectors. By the triangle inequality of
 angles a vector can only have partners within angle t in cells whose reference is not farther away
-than its own by more than 2t, so it is sent to those only. Within a cell both sides are split into
-blocks of bounded size by hash; a task multiplies one block with one block (numpy) and returns one row per
-probe row at most. A cell that holds a third of all rows is many block pairs, never one task.
+than its own by more than 2t, so it is compared with those only. Neighbouring small cells are packed together, and both sides
+of a pack are split into stripes of bounded size by hash: a vector is sent once per stripe, not once per cell or block. A task
+goes through a pair of stripes cell by cell and block by block (numpy) and returns one row per
+probe row at most. A cell that holds a third of all rows is many pairs of stripes, never one task.
 """
 from __future__ import annotations
 
@@ -21,6 +22,8 @@ from ..session import materialize
 from .greedy import keep_first
 
 BLOCK = 2048
+#: rows of either side that meet in a task
+STRIPE = 16_384
 CELL_ROWS = 200_000
 MAX_CELLS = 256
 
@@ -55,36 +58,66 @@ def references(rows: DataFrame, cells: int) -> np.ndarray:
     return _matrix(head["unit"]) if len(head) else np.zeros((0, 0))
 
 
-def _cells(batches, refs: np.ndarray, reach: float, probe: bool):
-    """Cell of each row; for probe rows all cells that can hold a partner."""
+def _angles(units: np.ndarray, refs: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(units @ refs.T, -1.0, 1.0))
+
+
+def _reached(units: np.ndarray, refs: np.ndarray, reach: float) -> np.ndarray:
+    """Which cells can hold a partner, row by row."""
+    angles = _angles(units, refs)
+    return angles <= angles.min(axis=1, keepdims=True) + reach + 1e-9
+
+
+def _cells(batches, refs: np.ndarray):
+    """Cell of each row."""
     for pdf in batches:
-        units = _matrix(pdf["unit"])
-        angles = np.arccos(np.clip(units @ refs.T, -1.0, 1.0))
-        if probe:
-            row, cell = np.nonzero(angles <= angles.min(axis=1, keepdims=True) + reach + 1e-9)
-        else:
-            row, cell = np.arange(len(pdf)), angles.argmin(axis=1)
-        yield pdf.iloc[row].assign(cell=cell.astype(np.int32))
+        if len(pdf):
+            yield pdf.assign(cell=_angles(_matrix(pdf["unit"]), refs).argmin(axis=1).astype(np.int32))
+
+
+def _packs(batches, refs: np.ndarray, reach: float, packs: np.ndarray):
+    """Packs that have a cell which can hold a partner."""
+    starts = np.flatnonzero(np.diff(packs, prepend=-1))
+    for pdf in batches:
+        if len(pdf):
+            hit = np.logical_or.reduceat(_reached(_matrix(pdf["unit"]), refs, reach), starts, axis=1)
+            yield pdf.assign(packs=[np.flatnonzero(row).astype(np.int32) for row in hit])
+
+
+def _packed(counts: dict[int, int], cells: int, stripe: int) -> np.ndarray:
+    """Pack of each cell: cells in a row that begin within one stripe of rows."""
+    sizes = np.array([counts.get(c, 0) for c in range(cells)])
+    begins = (np.cumsum(sizes) - sizes) // stripe
+    return np.unique(begins, return_inverse=True)[1]
 
 
-def _block_pair(probe: pd.DataFrame, index: pd.DataFrame, threshold: float, earlier: bool) -> pd.DataFrame:
-    """Earliest similar index row for each probe row of one block pair."""
+def _block_pair(
+    probe: pd.DataFrame, index: pd.DataFrame, threshold: float, earlier: bool, refs: np.ndarray | None, reach: float, block: int,
+) -> pd.DataFrame:
+    """Earliest similar index row for each probe row of one pair of stripes."""
     none = np.iinfo(np.int64).max
     empty = pd.DataFrame({"arrival": pd.Series(dtype="int64"), "first": pd.Series(dtype="int64")})
     if not len(probe) or not len(index):
         return empty
-    index = index.sort_values("iarrival")
-    at = index["iarrival"].to_numpy()
+    index = index.sort_values(["icell", "iarrival"])
+    at, cells = index["iarrival"].to_numpy(), index["icell"].to_numpy()
     asked = probe["arrival"].to_numpy()
-    right = _matrix(index["iunit"]).T
+    left, right = _matrix(probe["unit"]), _matrix(index["iunit"])
     best = np.full(len(asked), none)
+    bounds = [*np.flatnonzero(np.diff(cells, prepend=cells[0] - 1)).tolist(), len(cells)]
     for start in range(0, len(asked), BLOCK):
-        rows = slice(start, start + BLOCK)
-        similar = _matrix(probe["unit"].iloc[rows]) @ right >= threshold
-        if earlier:
-            similar &= at[None, :] < asked[rows, None]
-        hit = similar.any(axis=1)
-        best[rows] = np.where(hit, at[similar.argmax(axis=1)], none)
+        rows = np.arange(start, min(start + BLOCK, len(asked)))
+        reached = None if refs is None else _reached(left[rows], refs, reach)
+        for low, high in zip(bounds, bounds[1:]):
+            some = rows if reached is None else rows[reached[:, cells[low]]]
+            units = left[some]
+            for begin in range(low, high if len(some) else low, block):
+                part = slice(begin, min(begin + block, high))
+                similar = units @ right[part].T >= threshold
+                if earlier:
+                    similar &= at[None, part] < asked[some, None]
+                hit = similar.any(axis=1)
+                best[some[hit]] = np.minimum(best[some[hit]], at[part][similar[hit].argmax(axis=1)])
     found = best < none
     return pd.DataFrame({"arrival": asked[found], "first": best[found]})
 
@@ -107,22 +140,28 @@ def settle_vectors(rows: DataFrame, threshold: float) -> DataFrame:
 
 def nearest_vectors(
     probe: DataFrame, index: DataFrame, earlier: bool, threshold: float,
-    refs: np.ndarray | None = None, block: int = BLOCK,
+    refs: np.ndarray | None = None, block: int = BLOCK, stripe: int = STRIPE,
 ) -> DataFrame:
     """(arrival, first): per probe row the earliest index row with cosine >= threshold.
 
     Both inputs are (arrival, dim, unit). Vectors of unequal length are never similar.
     """
+    reach = 2 * math.acos(max(-1.0, min(1.0, threshold)))
     if refs is None or len(refs) < 2:
-        left, right = probe.withColumn("cell", F.lit(0)), index.withColumn("cell", F.lit(0))
+        refs = None
+        left, right = probe.withColumn("cell", F.lit(0)), index.withColumns({"cell": F.lit(0), "pack": F.lit(0)})
     else:
-        schema = "arrival long, dim int, unit array<double>, cell int"
-        reach = 2 * math.acos(max(-1.0, min(1.0, threshold)))
-        left = probe.mapInPandas(partial(_cells, refs=refs, reach=reach, probe=True), schema)
-        right = index.mapInPandas(partial(_cells, refs=refs, reach=reach, probe=False), schema)
+        schema = "arrival long, dim int, unit array<double>"
+        celled = index.mapInPandas(partial(_cells, refs=refs), f"{schema}, cell int")
+        packs = _packed({r["cell"]: r["count"] for r in celled.groupBy("cell").count().collect()}, len(refs), stripe)  # MAX_CELLS rows
+        right = celled.withColumn("pack", F.element_at(F.lit(packs.tolist()), F.col("cell") + 1).cast("int"))
+        left = probe.mapInPandas(partial(_packs, refs=refs, reach=reach, packs=packs), f"{schema}, packs array<int>").withColumn(
+            "cell", F.explode("packs")).drop("packs")
+    right = right.withColumnsRenamed({"cell": "own_cell", "pack": "cell"})  # from here on a cell is a pack of them
+    stripe = max(stripe, block)
 
     def blocks(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy("dim", "cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias(name))
+        return df.groupBy("dim", "cell").agg(F.ceil(F.count(F.lit(1)) / stripe).cast("int").alias(name))
 
     grid = blocks(left, "lb").join(blocks(right, "rb"), ["dim", "cell"])
     # one row per cell that is present on both sides: at most MAX_CELLS per vector length
@@ -137,9 +176,11 @@ def nearest_vectors(
     right = right.join(grid, ["dim", "cell"]).select(
         F.col("dim").alias("idim"), F.col("cell").alias("icell"),
         F.explode(F.sequence(F.lit(0), F.col("lb") - 1)).alias("il"), own("rb").alias("ir"),
-        F.col("arrival").alias("iarrival"), F.col("unit").alias("iunit"))
+        F.col("arrival").alias("iarrival"), F.col("unit").alias("iunit"),
+        F.col("own_cell").alias("own_icell"))
     found = left.groupBy("dim", "cell", "l", "r").cogroup(right.groupBy("idim", "icell", "il", "ir")).applyInPandas(
-        lambda p, i: _block_pair(p, i, threshold, earlier), "arrival long, first long")
+        lambda p, i: _block_pair(p, i.drop(columns="icell").rename(columns={"own_icell": "icell"}), threshold, earlier, refs, reach, block),
+        "arrival long, first long")
     return found.groupBy("arrival").agg(F.min("first").alias("first"))
 
 
