@@ -7,7 +7,7 @@ is a prefix of grams.
 
 A search reads the buckets of its trigrams and of them the row groups of its trigrams, intersects the lists from the rarest
 trigram on, and reads the candidates, newest first and a bounded number at a time, by date and number until enough of them
-hold the query. Trigrams only rule items out; what is returned was compared with the text itself.
+hold the query. Where a few reads can't be enough, all candidates are joined to the items at once. Trigrams only rule items out; what is returned was compared with the text itself.
 """
 from __future__ import annotations
 
@@ -88,6 +88,11 @@ def search_postings(spark: SparkSession, path: str, query: str, limit: int = 30,
     newest = [F.col("date").desc(), F.col("item")]
     chosen = items.limit(0)
     while taken < total and hits < limit:
+        if limit > MOST_READ or size == MOST_READ:
+            keys = found.select(F.col("date").alias("held_date"), F.col("item").alias("held_item"))
+            same = items["date"].eqNullSafe(keys["held_date"]) & (items["item"] == keys["held_item"])
+            chosen = items.where(F.contains(haystack(), F.lit(q))).join(keys, same, "left_semi")
+            break
         upto = min(total, taken + size)
         head = found.orderBy(*newest).offset(taken).limit(upto - taken).collect()  # a bounded number of keys
         by_date: dict = {}
