@@ -9,7 +9,8 @@ ranges of the hash, as many as the size class of the part needs for some ``RANGE
 summed over the ranges of a group.
 
 A part shared by more than ``GROUP`` texts is dealt by hash to groups of that size. Texts that share many parts meet in
-many different groups, so what is one large set of copies stays connected; no group grows with the data.
+many different groups, so what is one large set of copies stays connected; no group grows with the data. Of groups of the same
+texts one is compared.
 """
 from __future__ import annotations
 
@@ -196,7 +197,11 @@ def similar_links(rows: DataFrame, row_col: str, text_col: str = "text", shingle
     equal = keyed.select("row", "whole").join(same, "whole").where("row <> rep").select(F.col("row").alias("a"), F.col("rep").alias("b"))
     single = keyed.join(same.select(F.col("rep").alias("row")), "row").select(F.col("row").alias("rep"), F.explode("keys").alias("key"))
     sizes = single.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = materialize(single.join(sizes, "key").withColumn("sub", F.pmod(F.xxhash64("key", "rep"), F.ceil(F.col("n") / group))), "met")
+    dealt = single.join(sizes, "key").withColumn("sub", F.pmod(F.xxhash64("key", "rep"), F.ceil(F.col("n") / group)))
+    # near copies share many parts: the same texts are compared in one group only, as their shingles are long
+    groups = dealt.groupBy("key", "sub").agg(F.sort_array(F.collect_set("rep")).alias("reps")).where(F.size("reps") > 1)
+    once = groups.groupBy("reps").agg(F.min(F.struct("key", "sub")).alias("at"))
+    met = materialize(once.select("at.*", F.explode("reps").alias("rep")), "met")
     wanted = met.select(F.col("rep").alias("row")).distinct()
     sets = read.join(wanted, "row", "left_semi").mapInArrow(_sets(shingle, similarity), "rep long, fine int, span long, own array<long>")
     span = F.expr("shiftright(span, cast(fine - (key & 63) as int))")  # the ranges of the key's level
