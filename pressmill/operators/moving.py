@@ -18,6 +18,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,21 +67,31 @@ def _reached(rows: np.ndarray, means: np.ndarray, threshold: float) -> tuple[np.
     return np.concatenate(left), np.concatenate(right)
 
 
+def _numbers(lists: pa.ChunkedArray) -> np.ndarray:
+    """Vectors of one length as the rows of a matrix."""
+    flat = np.concatenate([np.asarray(chunk.flatten()) for chunk in lists.chunks])
+    return flat.reshape(len(lists), -1)
+
+
 def _search(threshold: float, matches: int):
-    """First matches of the rows of a block among the means of one task."""
-    def run(rows: pd.DataFrame, means: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"seq": [], "leader": [], "n": [], "total": []}).astype({"seq": "int64", "leader": "int64", "n": "int64", "total": object})
-        if not len(rows) or not len(means):
-            return empty
-        means = means.sort_values("leader", ignore_index=True)
-        i, j = _reached(_units(_matrix(rows["vector"])), _units(_matrix(means["total"])), threshold)
+    """First matches of the rows of a block among the means of one task, then once each mean that is one (``seq`` null)."""
+    shape = pa.schema([("seq", pa.int64()), ("leader", pa.int64()), ("n", pa.int64()), ("total", pa.list_(pa.float64()))])
+
+    def run(rows: pa.Table, means: pa.Table) -> pa.Table:
+        if not rows.num_rows or not means.num_rows:
+            return shape.empty_table()
+        means = means.sort_by("leader")
+        i, j = _reached(_units(_numbers(rows["vector"])), _units(_numbers(means["total"])), threshold)
         order = np.lexsort([j, i])
         i, j = i[order], j[order]
         first = np.searchsorted(i, i)
         keep = np.arange(len(i)) - first < matches
         i, j = i[keep], j[keep]
-        return pd.DataFrame({"seq": rows["seq"].to_numpy()[i], "leader": means["leader"].to_numpy()[j],
-                             "n": means["n"].to_numpy()[j], "total": means["total"].to_numpy()[j]})
+        pairs = pa.table({"seq": np.asarray(rows["seq"])[i], "leader": np.asarray(means["leader"])[j],
+                          "n": pa.nulls(len(i), pa.int64()), "total": pa.nulls(len(i), pa.list_(pa.float64()))}, shape)
+        met = means.take(np.unique(j))
+        return pa.concat_tables([pairs, pa.table({"seq": pa.nulls(met.num_rows, pa.int64()), "leader": met["leader"], "n": met["n"],
+                                                  "total": met["total"].cast(pa.list_(pa.float64()))}, shape)])
     return run
 
 
@@ -93,13 +104,13 @@ def _resolve(threshold: float, matches: int):
         listed: dict[int, list[int]] = {}
         frozen: dict[int, tuple[int, np.ndarray]] = {}
         if len(found):
-            found = found.sort_values(["seq", "leader"])
-            for seq, leader, n, total in found.itertuples(index=False):
-                mine = listed.setdefault(seq, [])
-                if len(mine) < matches:
-                    mine.append(leader)
-                    if leader not in frozen:
-                        frozen[leader] = (n, np.asarray(total, dtype=np.float64))
+            means = found[found["seq"].isna()]
+            frozen = {leader: (n, np.asarray(total, dtype=np.float64))
+                      for leader, n, total in zip(means["leader"].tolist(), means["n"].astype("int64").tolist(), means["total"])}
+            pairs = found.loc[found["seq"].notna(), ["seq", "leader"]].astype("int64").sort_values(["seq", "leader"])
+            pairs = pairs[pairs.groupby("seq").cumcount() < matches]
+            for seq, leader in zip(pairs["seq"].tolist(), pairs["leader"].tolist()):
+                listed.setdefault(seq, []).append(leader)
         count, place = 0, {}
         leaders = np.empty(len(rows), np.int64)
         totals, sizes, members = np.empty_like(vectors), np.empty(len(rows)), np.zeros(len(rows), np.int64)
@@ -147,10 +158,10 @@ def _clusters_of_one_length(rows: DataFrame, threshold: float, block: int, match
             found = spark.createDataFrame([], FOUND)
         else:
             tasks = max(1, -(-(n_table + n_recent) // task_means))
-            asked = own.withColumn("task", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))))
+            asked = own.select("seq", "vector").withColumn("task", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))))
             now = table if recent is None else table.join(F.broadcast(recent.select("leader")), "leader", "left_anti").unionByName(recent)
             dealt = now.withColumn("task", F.pmod(F.xxhash64("leader"), F.lit(tasks)).cast("int"))
-            found = asked.groupBy("task").cogroup(dealt.groupBy("task")).applyInPandas(_search(threshold, matches), FOUND)
+            found = asked.groupBy("task").cogroup(dealt.groupBy("task")).applyInArrow(_search(threshold, matches), FOUND)
         # one block and its matches, both bounded, meet in one task
         step = materialize(own.groupBy(one).cogroup(found.groupBy(one)).applyInPandas(_resolve(threshold, matches), STEP), "block")
         decided = step.where("seq IS NOT NULL").select("seq", "leader")
