@@ -11,6 +11,10 @@ summed over the ranges of a group.
 A part shared by more than ``GROUP`` texts is dealt by hash to groups of that size. Texts that share many parts meet in
 many different groups, so what is one large set of copies stays connected; no group grows with the data. Of groups of the same
 texts one is compared.
+
+Neither texts nor sets are joined with the groups: a broadcast filter of bounded size holds which part of which text is in a
+group, and each set goes from where its text is read to its groups. What the filter lets through wrongly is compared like the
+rest and makes no link. Where there are more members than it can hold, the sets are joined with them instead.
 """
 from __future__ import annotations
 
@@ -21,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pressmill.llm import bloom
 from pressmill.llm import words as W
 from pressmill.session import materialize
 
@@ -91,20 +96,22 @@ def _keys(k: int, similarity: float):
 def _sets(k: int, similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, cut, span, bounds, out = [], [], [], [0], []
+            rows, keys, cut, span, bounds, out = [], [], [], [], [0], []
             for _, row, own in _texts([batch], k):
                 fine = cuts(levels(len(own), similarity)[-1]) if len(own) else 0
                 spans = (own >> np.uint64(64 - fine)).astype(np.int64) if fine else np.zeros(len(own), np.int64)
                 begins = np.flatnonzero(np.diff(spans, prepend=-1))  # own is in order
                 rows += [batch.column(0)[row].as_py()] * len(begins)
+                keys += [np.concatenate([parts(own, x) for x in levels(len(own), similarity)])] * len(begins) if len(own) else []
                 cut += [fine] * len(begins)
                 span += spans[begins].tolist()
                 bounds += (bounds[-1] + np.r_[begins[1:], len(own)]).tolist() if len(own) else []
                 out.append(own)
             whole = pa.RecordBatch.from_arrays([
-                pa.array(rows, pa.int64()), pa.array(cut, pa.int32()), pa.array(span, pa.int64()),
+                pa.array(rows, pa.int64()), W.lists(np.concatenate(keys) if keys else np.zeros(0, np.int64), np.cumsum([0, *map(len, keys)]), pa.int64()),
+                pa.array(cut, pa.int32()), pa.array(span, pa.int64()),
                 W.lists(np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64), np.array(bounds), pa.int64())],
-                ["rep", "fine", "span", "own"])
+                ["rep", "keys", "fine", "span", "own"])
             yield from W.slices(whole)
     return run
 
@@ -188,23 +195,36 @@ def _stars(similarity: float):
 
 
 def similar_links(rows: DataFrame, row_col: str, text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY,
-                  group: int = GROUP) -> DataFrame:
+                  group: int = GROUP, max_words: int = bloom.MAX_WORDS) -> DataFrame:
     """Edges (a, b) of row numbers that connect similar texts. Texts of equal shingles hang on one of them; texts without words
     are linked to nothing. ``rows`` is written and ``row_col`` unique in it."""
+    dealt_to, member = F.pmod(F.xxhash64("key", "rep"), F.col("deal")), F.xxhash64("rep", "key")
     read = rows.select(F.col(row_col).cast("long").alias("row"), W.utf8(text_col).alias("body"))
     keyed = materialize(read.mapInArrow(_keys(shingle, similarity), "row long, whole long, keys array<long>"), "parts").where(F.size("keys") > 0)
     same = materialize(keyed.groupBy("whole").agg(F.min("row").alias("rep")), "same")
     equal = keyed.select("row", "whole").join(same, "whole").where("row <> rep").select(F.col("row").alias("a"), F.col("rep").alias("b"))
     single = keyed.join(same.select(F.col("rep").alias("row")), "row").select(F.col("row").alias("rep"), F.explode("keys").alias("key"))
     sizes = single.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    dealt = single.join(sizes, "key").withColumn("sub", F.pmod(F.xxhash64("key", "rep"), F.ceil(F.col("n") / group)))
+    dealt = single.join(sizes, "key").withColumn("deal", F.ceil(F.col("n") / group)).withColumn("sub", dealt_to)
     # near copies share many parts: the same texts are compared in one group only, as their shingles are long
-    groups = dealt.groupBy("key", "sub").agg(F.sort_array(F.collect_set("rep")).alias("reps")).where(F.size("reps") > 1)
-    once = groups.groupBy("reps").agg(F.min(F.struct("key", "sub")).alias("at"))
+    groups = dealt.groupBy("key", "sub").agg(F.sort_array(F.collect_set("rep")).alias("reps"), F.max("deal").alias("deal")).where(F.size("reps") > 1)
+    once = groups.groupBy("reps").agg(F.min(F.struct("key", "sub", "deal")).alias("at"))
     met = materialize(once.select("at.*", F.explode("reps").alias("rep")), "met")
-    wanted = met.select(F.col("rep").alias("row")).distinct()
-    sets = read.join(wanted, "row", "left_semi").mapInArrow(_sets(shingle, similarity), "rep long, fine int, span long, own array<long>")
+    members = met.count()
+    # one filter of the texts that are in groups and of their parts that are
+    words = bloom.filter_words(2 * members, max_words)
+    marks = met.select(F.explode(F.array(F.xxhash64("rep"), member)).alias("mark")).distinct()
+    filters = materialize(bloom.build(marks, "mark", words), "bloom")
+    held = bloom.suspected(read.withColumn("mark", F.xxhash64("row")), "mark", filters, words, seen="once").where("suspected").select("row", "body")
+    sets = held.mapInArrow(_sets(shingle, similarity), "rep long, keys array<long>, fine int, span long, own array<long>")
+    if 2 * members * bloom.BITS_PER_KEY <= max_words * 64:
+        of_part = sets.select("rep", F.explode("keys").alias("key"), "fine", "span", "own").withColumn("mark", member)
+        own = bloom.suspected(of_part, "mark", filters, words, seen="once").where("suspected")
+        crowded = materialize(met.where("deal > 1").select("key", "deal").distinct(), "crowded")
+        sent = own.join(crowded, "key", "left").withColumn("deal", F.coalesce("deal", F.lit(1).cast("long"))).withColumn("sub", dealt_to)
+    else:
+        sent = met.join(materialize(sets.drop("keys"), "sets"), "rep")
     span = F.expr("shiftright(span, cast(fine - (key & 63) as int))")  # the ranges of the key's level
-    pieces = met.join(materialize(sets, "sets"), "rep").select("key", "sub", span.alias("span"), "rep", "own")
+    pieces = sent.select("key", "sub", span.alias("span"), "rep", "own")
     near = pieces.repartition("key", "sub").sortWithinPartitions("key", "sub", "span").mapInArrow(_stars(similarity), "a long, b long")
     return equal.unionByName(near)

@@ -60,10 +60,10 @@ def build(keys: DataFrame, key: str, words: int) -> DataFrame:
     return rows.agg(packed("once"), packed("twice"))
 
 
-def suspected(rows: DataFrame, key: str, filters: DataFrame, words: int, flag: str = "suspected") -> DataFrame:
-    """``rows`` with a flag: whether all bits of the key were seen twice. The filter is broadcast; rows don't move."""
+def suspected(rows: DataFrame, key: str, filters: DataFrame, words: int, flag: str = "suspected", seen: str = "twice") -> DataFrame:
+    """``rows`` with a flag: whether all bits of the key were seen twice (or ``once``). The filter is broadcast; rows don't move."""
     word, mask = _word(F.col(key), words), _mask(F.col(key))
     row = F.call_function("shiftright", word, F.lit(WORDS_PER_ROW.bit_length() - 1))
-    held = F.get("twice", word.bitwiseAND(WORDS_PER_ROW - 1).cast("int"))
-    return rows.join(F.broadcast(filters.select("filter_row", "twice")), row == F.col("filter_row"), "left").withColumn(
-        flag, F.coalesce(held.bitwiseAND(mask) == mask, F.lit(False))).drop("filter_row", "twice")
+    held = F.get(seen, word.bitwiseAND(WORDS_PER_ROW - 1).cast("int"))
+    return rows.join(F.broadcast(filters.select("filter_row", seen)), row == F.col("filter_row"), "left").withColumn(
+        flag, F.coalesce(held.bitwiseAND(mask) == mask, F.lit(False))).drop("filter_row", seen)
