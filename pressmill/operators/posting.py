@@ -30,7 +30,7 @@ FIRST_READ, GROWTH, MOST_READ = 256, 4, 4096
 
 def grams(text: Column) -> Column:
     """Distinct runs of three characters, and the shorter ones at the end."""
-    return F.array_distinct(F.regexp_extract_all(text, F.lit("(?s)(?=(.{1,3}))"), F.lit(1)))
+    return F.array_distinct(F.regexp_extract_all(text, F.lit("(?s)(?=(.{1,3}))."), F.lit(1)))
 
 
 def bucket_of(gram: Column, buckets: int = BUCKETS) -> Column:
@@ -74,7 +74,12 @@ def candidates(spark: SparkSession, path: str, query: str, buckets: int = BUCKET
     def of_gram(gram: str) -> DataFrame:
         return postings.where((F.col("bucket") == of[gram]) & (F.col("gram") == gram)).select("date", F.explode("items").alias("item"))
 
-    return reduce(lambda left, gram: left.join(of_gram(gram), ["date", "item"], "left_semi"), rare[1:], of_gram(rare[0]))
+    def meet(left: DataFrame, gram: str) -> DataFrame:
+        right = of_gram(gram).select(F.col("date").alias("held_date"), F.col("item").alias("held_item"))
+        same = F.col("date").eqNullSafe(F.col("held_date")) & (F.col("item") == F.col("held_item"))  # a null date is a day like any other
+        return left.join(right, same, "left_semi")
+
+    return reduce(meet, rare[1:], of_gram(rare[0]))
 
 
 def search_postings(spark: SparkSession, path: str, query: str, limit: int = 30, buckets: int = BUCKETS) -> DataFrame:
